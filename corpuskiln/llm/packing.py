@@ -31,16 +31,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Entries of a worker's memo of words; it is emptied when full.
-MEMO_ENTRIES = 600_000
+MEMO_ENTRIES = 800_000
 #: Longer words aren't kept in the memo.
 MEMO_WORD_CHARS = 64
 #: Texts whose new words are encoded in one call.
-GROUP = 64
+GROUP = 128
 
 
 @dataclass(frozen=True)
@@ -145,36 +146,61 @@ def lim_segments(limits: Limits) -> int:
     return max(1, limits.segments)
 
 
-class WordIds(dict):
-    """word -> its ids as little-endian unsigned 32-bit integers.
+#: Below this code point every text is in normal form C, and lower case and classes don't depend on a Unicode version.
+_SIMPLE = regex.compile(r"[\x00-\u024f]*")
+_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+
+
+class WordIds:
+    """Encodes texts word by word, with a memo of ids as little-endian unsigned 32-bit integers.
 
     The tokenizer drops white space and never merges across it, so a text's ids
     are those of its words in a row.  Words are split at blanks and line feeds
-    only; any other white space stays inside and is left to the tokenizer.
+    only; any other white space stays inside.  A new word of simple letters is
+    lowered and split as the tokenizer would, and its pieces go to a copy
+    without those steps; any other new word goes through the whole tokenizer.
     """
 
     def __init__(self, path: str) -> None:
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self[""] = b""
-
-    def __missing__(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.whole, self.bare = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.bare.normalizer = None
+        self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # plain dictionaries: the differences below are then taken by look-ups
+        self.words: dict[str, bytes] = {"": b""}
+        self.pieces: dict[str, bytes] = {}
+        for tokenizer in (self.whole, self.bare):
+            tokenizer.encode_special_tokens = True
+
+    @staticmethod
+    def _encode(tokenizer, words: list[str], into: dict[str, bytes]) -> None:
+        for word, encoding in zip(words, tokenizer.encode_batch_fast(words, add_special_tokens=False)):
+            into[word] = np.array(encoding.ids, dtype="<u4").tobytes()
+
+    def _learn(self, new: list[str]) -> None:
+        if len(self.pieces) > MEMO_ENTRIES // 2:
+            self.pieces = {}
+        simple = {w: _PIECES.findall(w.lower()) for w in new if _SIMPLE.fullmatch(w)}
+        self._encode(self.bare, list(set().union(*simple.values()).difference(self.pieces)), self.pieces)
+        for word, pieces in simple.items():
+            self.words[word] = b"".join(map(self.pieces.__getitem__, pieces))
+        for piece in {p for w, pieces in simple.items() if len(w) > MEMO_WORD_CHARS for p in pieces if len(p) > MEMO_WORD_CHARS}:
+            del self.pieces[piece]
+        self._encode(self.whole, [w for w in new if w not in simple], self.words)
 
     def texts(self, texts: list[str]) -> Iterator[np.ndarray]:
         words = [text.replace("\n", " ").split(" ") for text in texts]
-        if len(self) > MEMO_ENTRIES:
-            self.clear()
-            self[""] = b""
-        new = [w for w in set().union(*words).difference(self) if len(w) <= MEMO_WORD_CHARS]
-        for word, encoding in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self[word] = np.array(encoding.ids, dtype="<u4").tobytes()
+        if len(self.words) > MEMO_ENTRIES:
+            self.words = {"": b""}
+        new = list(set().union(*words).difference(self.words))
+        self._learn(new)
         for one in words:
-            yield np.frombuffer(b"".join(map(self.__getitem__, one)), dtype="<u4")
+            yield np.frombuffer(b"".join(map(self.words.__getitem__, one)), dtype="<u4")
+        for word in new:
+            if len(word) > MEMO_WORD_CHARS:
+                del self.words[word]
 
 
 _WORDS: dict[str, WordIds] = {}
