@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuskiln.llm import byte_bpe, language_id, packing, token_counts
+from corpuskiln.llm import byte_bpe, fingerprints, language_id, line_dedup, packing, token_counts
 from corpuskiln.plans.registry import Query, Registry, table
 
 LLM = Registry()
@@ -17,11 +17,21 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 
 
+@LLM.add("op1_line_dedup", line_dedup.SQL)
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+
+
 @LLM.add("op2_packing")
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_texts(table(spark, sf_dir, "documents"), WORD_BPE, END_ID)
 
 
+@LLM.add("op5_fingerprints")
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_and_edit(table(spark, sf_dir, "documents"))
+
+
 @LLM.add("op7_language_id")
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict_languages(table(spark, sf_dir, "documents"))
