@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuskiln.llm import byte_bpe, fingerprints, language_id, line_dedup, packing, token_counts
+from corpuskiln.llm import byte_bpe, fingerprints, language_id, line_dedup, near_dedup, packing, token_counts
 from corpuskiln.plans.registry import Query, Registry, table
 
 LLM = Registry()
@@ -27,6 +27,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_texts(table(spark, sf_dir, "documents"), WORD_BPE, END_ID)
 
 
+@LLM.add("op3_near_dedup")
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @LLM.add("op5_fingerprints")
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_and_edit(table(spark, sf_dir, "documents"))
@@ -48,6 +53,13 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.length_histogram(lengths)
 
 
+@LLM.add("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
     return dict(LLM.queries)
 
