@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuskiln.llm import byte_bpe, fingerprints, language_id, line_dedup, near_dedup, packing, token_counts
+from corpuskiln.llm import ann, byte_bpe, chat_format, fingerprints, html_extract, language_id, line_dedup, near_dedup, packing, token_counts
 from corpuskiln.plans.registry import Query, Registry, table
 
 LLM = Registry()
@@ -32,16 +32,31 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@LLM.add("op4_nearest_neighbours")
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
 @LLM.add("op5_fingerprints")
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_and_edit(table(spark, sf_dir, "documents"))
 
 
+@LLM.add("op6_chat_formatting")
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.format_chats(table(spark, sf_dir, "conversations"))
+
+
 @LLM.add("op7_language_id")
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict_languages(table(spark, sf_dir, "documents"))
 
 
+@LLM.add("op8_html_extraction")
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
 @LLM.add("op9_byte_bpe")
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_decode(table(spark, sf_dir, "documents"), BYTE_BPE, public_tokenizers.PATTERN)
