@@ -1,21 +1,22 @@
 """Document fingerprints by winnowing, in DataFrame functions only.
 
-A text's k-grams of code points are hashed one by one; of every window of ``w``
-consecutive hashes the smallest is chosen, of equal ones the rightmost.  A
-chosen hash keeps its position, and any passage of ``w + k - 1`` code points
-that two texts share is guaranteed a common hash.
+A text is taken as tokens: runs of code points other than white space, cut
+every ``TOKEN`` code points, so texts without white space have tokens too.  Its
+rolling ``k``-grams of tokens are hashed; of every window of ``w`` consecutive
+hashes the smallest is chosen, of equal ones the rightmost.  A chosen hash
+keeps its position, and two texts that share ``w + k - 1`` tokens in a row are
+guaranteed a common hash.
 
 A hash (33 bits of xxhash64) and its position share one long, the position
 turned round, so the least long of a window is just its rightmost minimum.
-Texts are taken as UTF-32, in which a gram is a slice at a fixed offset, so the
-work stays in proportion to the length of a text.
-
-Defined results: a null text counts as empty and has no hashes; a text of fewer
-than ``k`` code points is one gram; fewer than ``w`` grams are one window; two
-empty fingerprints are alike (1.0), an empty and a full one not (0.0).  Rows
-are ordered by descending id, nulls last, then by hash of the text; a repeated
-row is a document of its own, whose next one may be its copy.  Extra columns
-aren't read.  Longer texts than 2**30 code points can't be stored in a row.
+The work is in proportion to the length of a text.
+
+Defined results: a null text counts as empty; a text without tokens has no
+hashes; a text of fewer than ``k`` tokens is one gram; fewer than ``w`` grams
+are one window; two empty fingerprints are alike (1.0), an empty and a full one
+not (0.0).  Rows are ordered by descending id, nulls last, then by hash of the
+text; a repeated row is a document of its own, whose next one may be its copy.
+Extra columns aren't read.
 """
 
 from __future__ import annotations
@@ -23,20 +24,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Code points of a gram, and grams of a window.
-GRAM, WINDOW = 8, 16
+#: Code points of a token at most, tokens of a gram, and grams of a window.
+TOKEN, GRAM, WINDOW = 8, 3, 4
 _MASK = (1 << 30) - 1
 
 
 def packed_fingerprint(text: str, k: int = GRAM, w: int = WINDOW) -> Column:
     """Chosen hashes of the text column named ``text``, each with its turned position in the lower 30 bits, by position."""
     # transform over an array of one is a binding: its value is taken once, not for each gram
-    grams = f"""transform(sequence(0, greatest(octet_length(b) div 4 - {k}, 0)), i ->
-        shiftleft(shiftrightunsigned(xxhash64(substring(b, 4 * i + 1, {4 * k})), 31), 30) + ({_MASK} - i))"""
-    chosen = f"array_distinct(transform(sequence(0, greatest(size(h) - {w}, 0)), i -> array_min(slice(h, i + 1, {w}))))"
+    gram = ", ".join(f"get(t, i + {j})" for j in range(k))
+    grams = f"transform(sequence(0, greatest(size(t) - {k}, 0)), i -> shiftleft(shiftrightunsigned(xxhash64({gram}), 31), 30) + ({_MASK} - i))"
+    # least() passes over the nulls beyond the end of a short text
+    low = f"least({', '.join(f'get(h, i + {j})' for j in range(w))})" if w > 1 else "get(h, i)"
+    chosen = f"array_distinct(transform(sequence(0, greatest(size(h) - {w}, 0)), i -> {low}))"
     return F.expr(
-        f"""if({text} IS NULL OR {text} = '', array(),
-        transform(transform(array(encode({text}, 'UTF-32')), b -> {grams}), h -> {chosen})[0])"""
+        f"""transform(transform(array(regexp_extract_all({text}, '(?U)\\\\S{{1,{TOKEN}}}', 0)), t -> if(size(t) = 0, array(), {grams})),
+        h -> if(size(h) = 0, array(), {chosen}))[0]"""
     ).cast("array<bigint>")
 
 
