@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuskiln.llm.byte_bpe import MEMO_ENTRIES, memo
+from corpuskiln.session import cut
 
 #: Lengths of one block of the two-level running sums.
 BLOCK = 4096
@@ -55,7 +56,8 @@ def length_histogram(lengths: DataFrame) -> DataFrame:
     truncated_tokens (kept if every document is cut at the limit),
     total_tokens and quantile (share of documents within the limit).
     """
-    counts = lengths.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs"))
+    # both levels read the counts; without the cut every text would be encoded twice
+    counts = cut(lengths.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n_docs")))
     counts = counts.withColumn("__block", F.expr(f"n_tokens div {BLOCK}"))
     block = counts.groupBy("__block").agg(F.sum("n_docs").alias("__docs"), F.sum(F.col("n_docs") * F.col("n_tokens")).alias("__tokens"))
     before = Window.orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
