@@ -392,14 +392,18 @@ def over_text(fn: Callable[[str], object], kind: T.DataType | str) -> Callable[[
 
 
 def over_texts(fn: Callable[[str], list], kind: str) -> Callable[[Column], Column]:
-    """As ``over_text`` for functions that return arrays, maps or structs."""
+    """As ``over_text`` for functions that return arrays, maps or structs.
+
+    It counts as nondeterministic, so a plan that explodes its result or takes
+    several of its fields can't repeat the call.
+    """
 
     def column(c: Column) -> Column:
         @F.udf(kind, useArrow=True)
         def run(text):
             return None if text is None else fn(text)
 
-        return run(c)
+        return run.asNondeterministic()(c)
 
     return column
 

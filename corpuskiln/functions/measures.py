@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpuskiln.functions.binding import let
 from corpuskiln.functions.text import lines
 
 BASE64_RUN = r"[A-Za-z0-9+/=\n]{64,}"
@@ -102,8 +103,13 @@ def word_count(c: Column) -> Column:
 
 def shingle_set(tokens: Column, k: int = 5) -> Column:
     """Distinct runs of ``k`` tokens joined by a blank; none for fewer tokens."""
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.size(tokens) - k + 1, F.lit(1))), lambda i: F.array_join(F.slice(tokens, i, k), " "))
-    return F.when(F.size(tokens) >= k, F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))
+
+
+    def grams(t: Column) -> Column:
+        each = F.transform(F.sequence(F.lit(1), F.greatest(F.size(t) - k + 1, F.lit(1))), lambda i: F.array_join(F.slice(t, i, k), " "))
+        return F.when(F.size(t) >= k, F.array_distinct(each)).otherwise(F.array().cast("array<string>"))
+
+    return let(tokens, grams)
 
 
 def jaccard(a: Column, b: Column) -> Column:

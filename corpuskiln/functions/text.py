@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpuskiln.functions.binding import let
+
 LANGUAGES = {
     "python": (".py",), "javascript": (".js",), "typescript": (".ts",), "java": (".java",), "c": (".c", ".h"), "cpp": (".hpp", ".cpp", ".cc"),
     "go": (".go",), "rust": (".rs",), "ruby": (".rb",), "php": (".php",), "shell": (".sh", ".bash", ".zsh"), "powershell": (".ps1",), "sql": (".sql",),
@@ -50,10 +52,12 @@ def lines(c: Column) -> Column:
 
 def collapse_blank_lines(c: Column, strip_leading: bool = True) -> Column:
     """Runs of blank lines become one empty line; leading ones go if asked."""
-    each = lines(c)
-    kept = F.filter(
-        F.transform(each, lambda x, i: F.struct(x.alias("x"), (is_blank(x) & F.when(i > 0, is_blank(F.get(each, i - 1))).otherwise(F.lit(False))).alias("again"))),
-        lambda s: ~s["again"],
+    kept = let(
+        lines(c),
+        lambda each: F.filter(
+            F.transform(each, lambda x, i: F.struct(x.alias("x"), (is_blank(x) & F.when(i > 0, is_blank(F.get(each, i - 1))).otherwise(F.lit(False))).alias("again"))),
+            lambda s: ~s["again"],
+        ),
     )
     joined = F.array_join(F.transform(kept, lambda s: F.when(is_blank(s["x"]), F.lit("")).otherwise(s["x"])), "\n")
     return F.regexp_replace(joined, r"^\n", "") if strip_leading else joined
@@ -61,15 +65,15 @@ def collapse_blank_lines(c: Column, strip_leading: bool = True) -> Column:
 
 def separation_policy(c: Column) -> Column:
     """No blank lines at the start or between code and code, one at most elsewhere, one line feed at the end."""
-    full = F.filter(F.transform(lines(c), lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: ~is_blank(s["x"]))
+    kept = F.filter(F.transform(lines(c), lambda x, i: F.struct(x.alias("x"), i.alias("i"), x.rlike("(?U)" + _COMMENT_LINE).alias("comment"))), lambda s: ~is_blank(s["x"]))
 
-    def with_gap(s: Column, k: Column) -> Column:
+    def with_gap(full: Column, s: Column, k: Column) -> Column:
         before = F.get(full, k - 1)
-        gap = (k > 0) & (s["i"] - before["i"] > 1)
-        code = ~s["x"].rlike("(?U)" + _COMMENT_LINE) & ~before["x"].rlike("(?U)" + _COMMENT_LINE)
-        return F.when(F.coalesce(gap & ~code, F.lit(False)), F.concat(F.lit("\n"), s["x"])).otherwise(s["x"])
+        gap = (k > 0) & (s["i"] - before["i"] > 1) & (s["comment"] | before["comment"])
+        return F.when(F.coalesce(gap, F.lit(False)), F.concat(F.lit("\n"), s["x"])).otherwise(s["x"])
 
-    return F.concat(F.array_join(F.transform(full, with_gap), "\n"), F.lit("\n"))
+    rows = let(kept, lambda full: F.transform(full, lambda s, k: with_gap(full, s, k)))
+    return F.concat(F.array_join(rows, "\n"), F.lit("\n"))
 
 
 def strip_line_comments(c: Column) -> Column:

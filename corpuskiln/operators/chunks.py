@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuskiln.functions import machines
+from corpuskiln.functions.binding import let
 
 #: Queries that may be sent to every task.
 MAX_QUERIES = 10_000
@@ -37,8 +38,13 @@ def id_chunks(ids: Column, max_len: int, stride: int) -> Column:
     if max_len <= 0 or not 0 <= stride < max_len:
         raise ValueError("max_len must be positive and stride below it")
     step = max_len - stride
-    last = F.greatest(F.ceil((F.size(ids) - max_len) / step), F.lit(0)).cast("int")
-    return F.when(F.size(ids) > 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(ids, i * step + 1, max_len))).otherwise(F.array().cast("array<array<int>>"))
+
+
+    def windows(x: Column) -> Column:
+        last = F.greatest(F.ceil((F.size(x) - max_len) / step), F.lit(0)).cast("int")
+        return F.when(F.size(x) > 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(x, i * step + 1, max_len))).otherwise(F.array().cast("array<array<int>>"))
+
+    return let(ids, windows)
 
 
 def explode_id_chunks(df: DataFrame, ids: str = "input_ids", max_len: int = 4096, stride: int = 256, pad: int | None = None) -> DataFrame:

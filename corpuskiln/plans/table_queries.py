@@ -359,10 +359,10 @@ def instruction_mode(spark, sf):
     return _docs(spark, sf).select("doc_id", messages.input_mode(F.col("text"), "excerpt").alias("excerpt"))
 
 
-@R.add("template_messages", "SELECT doc_id, 'File ' || source || CASE WHEN doc_id % 2 = 0 THEN ' (even' || ')' ELSE '' END || chr(10) AS user FROM documents")
+@R.add("template_messages", "SELECT doc_id, 'File ' || source || CASE WHEN doc_id % 2 = 0 THEN ' (even' || ')' ELSE '' END || '!' || chr(10) AS user FROM documents")
 def template_messages(spark, sf):
     d = _docs(spark, sf).withColumn("even", F.col("doc_id") % 2 == 0)
-    m = messages.rendered_messages(d, "", "File {{ source }}{% if even %} (even){% endif %}{{ lang_note | default('') }}\n".replace("{{ lang_note | default('') }}", ""), "")
+    m = messages.rendered_messages(d, "", "File {{ source }}{% if even %} (even){% endif %}!\n", "")
     return m.select("doc_id", F.expr("messages[1].content").alias("user"))
 
 
@@ -408,7 +408,7 @@ def mcc_summary(spark, sf):
     return code_graph.file_summary(_definition_json(spark, sf)).select("json_path", "imports_count", "num_declarations", "total_mcc", "max_mcc", "avg_mcc")
 
 
-@R.add("hardest_def", _DEF + " SELECT json_path, name AS def_name, mcc::BIGINT AS total FROM d QUALIFY row_number() OVER (PARTITION BY json_path ORDER BY mcc DESC, name) = 1")
+@R.add("hardest_def", _DEF + ", s AS (SELECT json_path, name, sum(mcc)::BIGINT AS total FROM d GROUP BY 1, 2) SELECT json_path, name AS def_name, total FROM s QUALIFY row_number() OVER (PARTITION BY json_path ORDER BY total DESC, name) = 1")
 def hardest_def(spark, sf):
     return code_graph.hardest_definitions(code_graph.definitions(_definition_json(spark, sf))).select("json_path", "def_name", "total")
 
