@@ -118,10 +118,9 @@ def jaccard(a: Column, b: Column) -> Column:
 
 
 def char_grams(c: Column, k: int = 5) -> Column:
-    """Distinct ``k``-grams of code points within trimmed lines."""
-    trimmed = F.transform(lines(c), lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", ""))
-    long_enough = F.filter(trimmed, lambda x: F.length(x) >= k)
-    return F.array_distinct(F.flatten(F.transform(long_enough, lambda x: F.transform(F.sequence(F.lit(1), F.length(x) - k + 1), lambda i: F.substring(x, i, F.lit(k))))))
+    """Distinct ``k``-grams of code points within trimmed lines, in time linear in the text."""
+    trimmed = F.regexp_replace(c, r"(?Umd)^[\s&&[^\n]]+|[\s&&[^\n]]+$", "")
+    return F.array_distinct(F.regexp_extract_all(trimmed, F.lit(rf"(?sd)(?=([^\n]{{{k}}}))."), F.lit(1)))
 
 
 def is_junk_path(path: Column) -> Column:

@@ -10,6 +10,7 @@ from corpuskiln.functions import measures as M
 from corpuskiln.functions import text as X
 from corpuskiln.operators import chunks, code_graph, components, keyed, messages, near_duplicates, providers, quality, splits
 from corpuskiln.plans.registry import Registry, table
+from corpuskiln.session import cut
 
 R = Registry()
 
@@ -62,7 +63,7 @@ def pair_histogram(spark, sf):
 
 @R.add("clusters", _CLUSTERS + "SELECT f AS filename, cluster FROM l")
 def clusters(spark, sf):
-    sets = near_duplicates.shingled(_distinct_files(spark, sf))
+    sets = cut(near_duplicates.shingled(_distinct_files(spark, sf)))
     return near_duplicates.cluster_files(sets.drop("shingles"), near_duplicates.exact_pairs(sets)).select("filename", "cluster")
 
 
@@ -74,7 +75,7 @@ def singletons(spark, sf):
 
 @R.add("representatives", _CLUSTERS + "SELECT f AS filename, cluster, count(*) OVER (PARTITION BY cluster) AS size, row_number() OVER (PARTITION BY cluster ORDER BY n DESC, m DESC, length(f), f) = 1 AS kept FROM l")
 def representatives(spark, sf):
-    sets = near_duplicates.shingled(_distinct_files(spark, sf))
+    sets = cut(near_duplicates.shingled(_distinct_files(spark, sf)))
     clustered = near_duplicates.cluster_files(sets.drop("shingles"), near_duplicates.exact_pairs(sets))
     return near_duplicates.representatives(clustered).select("filename", "cluster", "size", "kept")
 
