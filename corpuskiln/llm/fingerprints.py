@@ -38,7 +38,7 @@ def packed_fingerprint(text: str, k: int = GRAM, w: int = WINDOW) -> Column:
     low = f"least({', '.join(f'get(h, i + {j})' for j in range(w))})" if w > 1 else "get(h, i)"
     chosen = f"array_distinct(transform(sequence(0, greatest(size(h) - {w}, 0)), i -> {low}))"
     return F.expr(
-        f"""transform(transform(array(regexp_extract_all({text}, '(?U)\\\\S{{1,{TOKEN}}}', 0)), t -> if(size(t) = 0, array(), {grams})),
+        f"""transform(transform(array(regexp_extract_all(coalesce({text}, ''), '(?U)\\\\S{{1,{TOKEN}}}', 0)), t -> if(size(t) = 0, array(), {grams})),
         h -> if(size(h) = 0, array(), {chosen}))[0]"""
     ).cast("array<bigint>")
 

@@ -185,8 +185,14 @@ def document_frequencies(texts: DataFrame) -> np.ndarray:
 
 
 def inverse_frequencies(frequencies: np.ndarray) -> np.ndarray:
-    """ln((1 + documents) / (1 + documents with the feature)) + 1, as Spark's and others' smoothed IDF."""
-    return (np.log((1 + frequencies[-1]) / (1 + frequencies[:-1])) + 1).astype(np.float32)
+    """1 + ln((1 + documents) / (1 + documents with the feature)) / ln(1 + documents), between 1 and 2.
+
+    Held to a factor of two, the weights leave near copies alike that many
+    documents share: without it a group of copies that holds much of the table
+    has light common shingles, and a single changed word outweighs them.
+    """
+    documents = max(int(frequencies[-1]), 1)
+    return (1 + np.log((1 + documents) / (1 + np.minimum(frequencies[:-1], documents))) / np.log(1 + documents)).astype(np.float32)
 
 
 def _uniform(x: np.ndarray) -> np.ndarray:
