@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpuskiln.session import ship
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -20,7 +23,13 @@ class Registry:
         def register(fn: Query) -> Query:
             if name in self.queries:
                 raise ValueError(f"query {name} is registered twice")
-            self.queries[name] = fn
+
+            @functools.wraps(fn)
+            def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+                ship(spark)
+                return fn(spark, sf_dir)
+
+            self.queries[name] = query
             if sql is not None:
                 self.sql[name] = sql
             return fn
