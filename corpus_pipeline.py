@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from corpuskiln.llm import language_id, line_dedup, near_dedup, packing
 from corpuskiln.llm.registry import END_ID, WORD_BPE
-from corpuskiln.session import ensure_checkpoint_dir
+from corpuskiln.session import ensure_checkpoint_dir, ship
 
 #: SQL can't express the learned language models, so a brute-force version is the test's oracle.
 ORACLE_SQL = None
@@ -23,21 +23,25 @@ ORACLE_SQL = None
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that language identification rejects go."""
+    ship(spark)
     return language_id.keep_identified(docs)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later occurrences of three repeated lines go; ``n_chars`` follows the text."""
+    ship(spark)
     return line_dedup.remove_repeated_lines(docs)
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
+    ship(spark)
     return near_dedup.keep_one_of_each(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of every document in training sequences."""
+    ship(spark)
     return packing.pack_texts(docs, WORD_BPE, END_ID)
 
 
