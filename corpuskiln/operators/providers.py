@@ -174,6 +174,12 @@ def run_tests(answers: DataFrame, check: Callable[[str, str], bool]) -> DataFram
     return sums.withColumn("passed", (F.col("n_tests") > 0) & (F.col("n_tests") == F.col("n_passed")))
 
 
+def report(results: DataFrame) -> DataFrame:
+    """One line of text per task: verdict, counts and the tests' log."""
+    head = F.concat(F.when(F.col("passed"), "PASS").otherwise("FAIL"), F.lit(" task "), F.col("task_id").cast("string"), F.lit(": "), F.col("n_passed").cast("string"), F.lit("/"), F.col("n_tests").cast("string"))
+    return results.select("task_id", F.concat_ws("\n", head, F.nullif(F.col("log"), F.lit(""))).alias("report"))
+
+
 def pass_rates(results: DataFrame, by: str) -> DataFrame:
     return results.groupBy(by).agg(F.count(F.lit(1)).alias("n"), F.avg(F.col("passed").cast("double")).alias("pass_rate"))
 

@@ -205,6 +205,14 @@ def test_evaluation(spark):
     out = {r["task_id"]: r for r in providers.run_suite(tasks, lambda p: f"```\n{p}\n```", lambda code, test: test == "a", "F {task}", "P {task}").collect()}
     assert (out[1]["n_tests"], out[1]["n_passed"], out[1]["passed"]) == (2, 1, False) and not out[2]["passed"]
     assert out[1]["log"] == "PASS a\nFAIL b"
+    rows = spark.createDataFrame([(1, 2, 1, "PASS a\nFAIL b", False)], "task_id int, n_tests int, n_passed int, log string, passed boolean")
+    assert providers.report(rows).collect()[0]["report"] == "FAIL task 1: 1/2\nPASS a\nFAIL b"
+
+
+def test_spanning_tree_column(spark):
+    df = spark.createDataFrame([(json.dumps(CFG),)], "j string").select(F.from_json("j", code_graph.CFG).alias("c"))
+    tree = df.select(code_graph.spanning_tree_of(F.col("c")).alias("t")).collect()[0]["t"]
+    assert tree["root"] == 0 and [(e["parent"], e["child"]) for e in tree["edges"]] == [(0, 1), (0, 2), (0, 4), (1, 3)]
 
 
 def test_quality_marks_and_routes(spark):
