@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import functions as F
 
 from corpuskiln.functions import measures as M
-from corpuskiln.functions import text as X
-from corpuskiln.operators import chunks, code_graph, components, keyed, messages, near_duplicates, providers, quality, splits
+from corpuskiln.operators import chunks, code_graph, components, keyed, messages, near_duplicates, providers, splits
 from corpuskiln.plans.registry import Registry, table
 from corpuskiln.session import cut
 

@@ -51,7 +51,6 @@ def content_hashes(spark, sf):
 )
 def line_stats(spark, sf):
     c = F.col("text")
-    chars = (M.mean_line_length(c) * M.line_count(c)).cast("long")
     return _docs(spark, sf).select("doc_id", M.line_count(c).alias("n_lines"), F.round(M.mean_line_length(c) * M.line_count(c)).cast("long").alias("line_chars"), M.longest_line(c).alias("max_line_len"))
 
 
