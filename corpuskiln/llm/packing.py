@@ -25,23 +25,25 @@ only the id and text columns are read, so extra columns can't clash.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Entries of a worker's memo of words; it is emptied when full.
-MEMO_ENTRIES = 800_000
+#: Entries of a worker's memo of words and their pieces; it is emptied when full.
+MEMO_ENTRIES = 1_100_000
 #: Longer words aren't kept in the memo.
 MEMO_WORD_CHARS = 64
 #: Texts whose new words are encoded in one call.
-GROUP = 128
+GROUP = 256
 
 
 @dataclass(frozen=True)
@@ -147,7 +149,7 @@ def lim_segments(limits: Limits) -> int:
 
 
 #: Below this code point every text is in normal form C, and lower case and classes don't depend on a Unicode version.
-_SIMPLE = regex.compile(r"[\x00-\u024f]*")
+_SIMPLE = re.compile(r"[\x00-\u024f]*")
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
 
@@ -168,39 +170,60 @@ class WordIds:
         self.whole, self.bare = Tokenizer.from_file(path), Tokenizer.from_file(path)
         self.bare.normalizer = None
         self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        # plain dictionaries: the differences below are then taken by look-ups
-        self.words: dict[str, bytes] = {"": b""}
-        self.pieces: dict[str, bytes] = {}
+        # exactly a dict: the differences below are then taken by look-ups
+        self.memo: dict[str, bytes] = {"": b""}
         for tokenizer in (self.whole, self.bare):
             tokenizer.encode_special_tokens = True
 
-    @staticmethod
-    def _encode(tokenizer, words: list[str], into: dict[str, bytes]) -> None:
+    def _encode(self, tokenizer, words: list[str]) -> None:
         for word, encoding in zip(words, tokenizer.encode_batch_fast(words, add_special_tokens=False)):
-            into[word] = np.array(encoding.ids, dtype="<u4").tobytes()
-
-    def _learn(self, new: list[str]) -> None:
-        if len(self.pieces) > MEMO_ENTRIES // 2:
-            self.pieces = {}
-        simple = {w: _PIECES.findall(w.lower()) for w in new if _SIMPLE.fullmatch(w)}
-        self._encode(self.bare, list(set().union(*simple.values()).difference(self.pieces)), self.pieces)
-        for word, pieces in simple.items():
-            self.words[word] = b"".join(map(self.pieces.__getitem__, pieces))
-        for piece in {p for w, pieces in simple.items() if len(w) > MEMO_WORD_CHARS for p in pieces if len(p) > MEMO_WORD_CHARS}:
-            del self.pieces[piece]
-        self._encode(self.whole, [w for w in new if w not in simple], self.words)
-
-    def texts(self, texts: list[str]) -> Iterator[np.ndarray]:
-        words = [text.replace("\n", " ").split(" ") for text in texts]
-        if len(self.words) > MEMO_ENTRIES:
-            self.words = {"": b""}
-        new = list(set().union(*words).difference(self.words))
-        self._learn(new)
-        for one in words:
-            yield np.frombuffer(b"".join(map(self.words.__getitem__, one)), dtype="<u4")
+            self.memo[word] = np.array(encoding.ids, dtype="<u4").tobytes()
+
+    def _learn(self, new: list[str]) -> list[str]:
+        """Put words into the memo, and their pieces, which are words too; returns all that are too long to stay."""
+        memo, alone, split, other = self.memo, {}, {}, []
         for word in new:
-            if len(word) > MEMO_WORD_CHARS:
-                del self.words[word]
+            low = word.lower()
+            if not _SIMPLE.fullmatch(word):
+                other.append(word)
+            elif low.isalpha():
+                alone[word] = low
+            else:
+                split[word] = _PIECES.findall(low)
+        pieces = list(set(alone.values()).union(*split.values()).difference(memo))
+        self._encode(self.bare, pieces)
+        for word, low in alone.items():
+            memo[word] = memo[low]
+        for word, parts in split.items():
+            memo[word] = b"".join(map(memo.__getitem__, parts))
+        self._encode(self.whole, other)
+        return [w for w in {*new, *pieces} if len(w) > MEMO_WORD_CHARS]
+
+    def texts(self, texts: list[str] | pa.Array) -> Iterator[np.ndarray]:
+        """Ids of each text; null is empty.  Words are told apart in Arrow, so Python sees a group's distinct ones only."""
+        if len(self.memo) > MEMO_ENTRIES:
+            self.memo = {"": b""}
+        column = pc.fill_null(pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string()), "")
+        split = pc.split_pattern(pc.replace_substring(column, "\n", " "), " ")
+        coded = split.flatten().dictionary_encode()
+        own = coded.dictionary.to_pylist()
+        long = self._learn([w for w in own if w not in self.memo])
+        known = list(map(self.memo.__getitem__, own))
+        for word in long:
+            del self.memo[word]
+        ids = np.frombuffer(b"".join(known), dtype="<u4")
+        lengths = np.fromiter(map(len, known), dtype=np.int64, count=len(known)) // 4
+        starts = np.cumsum(lengths) - lengths
+        index = coded.indices.to_numpy()
+        each = lengths[index]
+        ends = np.cumsum(each)
+        # a word's ids lie in a row from its start: the shift from places in the output is constant over a word
+        place = np.repeat(starts[index] - (ends - each), each)
+        place += np.arange(len(place))
+        out = ids[place]
+        bounds = np.concatenate([[0], ends])[split.offsets.to_numpy()]
+        for begin, end in zip(bounds, bounds[1:]):
+            yield out[begin:end]
 
 
 _WORDS: dict[str, WordIds] = {}
@@ -252,8 +275,7 @@ def pack_texts(df: DataFrame, tokenizer_path: str, end_id: int, limits: Limits =
                 words = _word_ids(tokenizer_path)
                 for at in range(0, batch.num_rows, GROUP):
                     part = batch.slice(at, GROUP)
-                    texts = [x or "" for x in part.column(1).to_pylist()]
-                    for key, ids in zip(part.column(0).to_pylist(), words.texts(texts)):
+                    for key, ids in zip(part.column(0).to_pylist(), words.texts(part.column(1))):
                         yield Example(key, np.concatenate([ids, end]))
 
         pieces = Packer(limits, cut).pack(examples())

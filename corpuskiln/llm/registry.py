@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
