@@ -76,3 +76,24 @@ def test_edges(spark, docs):
 def test_the_plan_has_no_python(spark, docs):
     plan = W.fingerprint_and_edit(docs([(1, "a")]))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_unspaced_passages_share_hashes_at_any_offset(spark, docs):
+    rng = random.Random(2)
+    shared = "".join(rng.choice("日本語中文字漢仮名交文") for _ in range(W.WINDOW + W.GRAM - 1))
+    rows = [(i, "".join(rng.choice("abcdefgh") for _ in range(i)) + shared + "z" * 30) for i in range(20)] + [(20, "ab " + " ".join(shared) + "\ncd")]
+    found = docs(rows).select(F.posexplode(W.hashes(W.packed_fingerprint("text"))).alias("n", "h"), "doc_id").groupBy("h").agg(F.count_distinct("doc_id").alias("n"))
+    assert found.agg(F.max("n")).collect()[0][0] == len(rows)
+    base = "".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(400))
+    pair = docs([(1, base), (2, "x" + base)]).select(W.hashes(W.packed_fingerprint("text")).alias("h")).collect()
+    assert len(set(pair[0]["h"]) & set(pair[1]["h"])) >= 0.9 * len(pair[0]["h"])
+
+
+def test_edited_texts_are_fingerprinted_whole(spark, docs):
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("ab é日\n") for _ in range(n)) for n in [*range(90), 200, 300, 1000]] + ["x" * 300, " " * 60 + "ab" * 20, "ab" * 40 + " " * 90, "", " \n"]
+    rng.shuffle(texts)
+    out = {r["doc_id"]: r["edited_fingerprint"] for r in W.fingerprint_and_edit(docs(list(enumerate(texts)))).collect()}
+    edited = [(i, t[: len(t) - len(t) // 3] + texts[i - 1][: len(t) // 3]) for i, t in enumerate(texts)]
+    direct = {r["doc_id"]: r["d"] for r in docs(edited).select("doc_id", W.digest(W.packed_fingerprint("text")).alias("d")).collect()}
+    assert out == direct
