@@ -377,9 +377,9 @@ def eval_tests(spark, sf):
     return out.select("task_id", F.col("n_tests").cast("int").alias("n_tests"), F.col("n_passed").cast("int").alias("n_passed"), "passed")
 
 
-def _definition_json(spark, sf):
+def _definition_json(spark, sf, orders="true"):
     """One definition file per order: a declaration per line with a branch for every quantity above 25, and references to earlier lines."""
-    l = table(spark, sf, "lineitem").filter("l_orderkey % 5 = 0")
+    l = table(spark, sf, "lineitem").filter(orders)
     node = lambda i: F.struct(F.lit(i).alias("id"), F.lit("n").alias("kind"), F.lit("").alias("label"))
     edge = lambda a, b, k="control": F.struct(F.lit(a).alias("from"), F.lit(b).alias("to"), F.lit(k).alias("kind"))
     branch = F.struct(F.lit(0).alias("entry"), F.lit(3).alias("exit"), F.array(*map(node, range(5))).alias("nodes"), F.array(edge(0, 1, "branch"), edge(0, 2, "branch"), edge(1, 3), edge(2, 3), edge(0, 4, "decl")).alias("edges"))
@@ -392,28 +392,30 @@ def _definition_json(spark, sf):
     return files.select(F.col("l_orderkey").cast("string").alias("json_path"), body.alias("json"))
 
 
+#: The orders that the SQL of the queries below takes.
+_SQL_ORDERS = "l_orderkey % 5 = 0"
 _DEF = "WITH d AS (SELECT l_orderkey::VARCHAR AS json_path, 'f' || l_linenumber AS name, l_linenumber, CASE WHEN l_quantity > 25 THEN 2 ELSE 1 END AS mcc FROM lineitem WHERE l_orderkey % 5 = 0)"
 
 
 @R.add("mcc", _DEF + " SELECT json_path, name AS definition_name, mcc, CASE mcc WHEN 2 THEN 4 ELSE 1 END AS edges_e, CASE mcc WHEN 2 THEN 4 ELSE 2 END AS nodes_n FROM d")
 def mcc(spark, sf):
-    stats = code_graph.definition_stats(code_graph.definitions(_definition_json(spark, sf)))
+    stats = code_graph.definition_stats(code_graph.definitions(_definition_json(spark, sf, _SQL_ORDERS)))
     return stats.select("json_path", "definition_name", "mcc", F.col("edges_E").alias("edges_e"), F.col("nodes_N").alias("nodes_n"))
 
 
 @R.add("mcc_summary", "WITH d AS (SELECT l_orderkey::VARCHAR AS json_path, CASE WHEN l_quantity > 25 THEN 2 ELSE 1 END AS m FROM lineitem WHERE l_orderkey % 5 = 0) SELECT json_path, 1 AS imports_count, count(*) AS num_declarations, sum(m)::BIGINT AS total_mcc, max(m) AS max_mcc, avg(m) AS avg_mcc FROM d GROUP BY 1")
 def mcc_summary(spark, sf):
-    return code_graph.file_summary(_definition_json(spark, sf)).select("json_path", "imports_count", "num_declarations", "total_mcc", "max_mcc", "avg_mcc")
+    return code_graph.file_summary(_definition_json(spark, sf, _SQL_ORDERS)).select("json_path", "imports_count", "num_declarations", "total_mcc", "max_mcc", "avg_mcc")
 
 
 @R.add("hardest_def", _DEF + ", s AS (SELECT json_path, name, sum(mcc)::BIGINT AS total FROM d GROUP BY 1, 2) SELECT json_path, name AS def_name, total FROM s QUALIFY row_number() OVER (PARTITION BY json_path ORDER BY total DESC, name) = 1")
 def hardest_def(spark, sf):
-    return code_graph.hardest_definitions(code_graph.definitions(_definition_json(spark, sf))).select("json_path", "def_name", "total")
+    return code_graph.hardest_definitions(code_graph.definitions(_definition_json(spark, sf, _SQL_ORDERS))).select("json_path", "def_name", "total")
 
 
 @R.add("reference_edges", "SELECT DISTINCT l_orderkey::VARCHAR AS json_path, 'f' || l_linenumber AS src, 'f' || (l_linenumber - 1) AS dst FROM lineitem WHERE l_orderkey % 5 = 0")
 def reference_edges(spark, sf):
-    return code_graph.reference_edges(code_graph.definitions(_definition_json(spark, sf)))
+    return code_graph.reference_edges(code_graph.definitions(_definition_json(spark, sf, _SQL_ORDERS)))
 
 
 @R.add("dependency_trees")

@@ -255,3 +255,20 @@ def test_streaming_ingest(spark, tmp_path):
     (folder / "2.json").write_text('{"filename":"a","scenario":"X","v":2}\n{"filename":"b","scenario":"X","v":2}\n')
     ingest.ingest(ingest.json_stream(spark, str(folder), schema), table, str(tmp_path / "cp"), ("filename", "scenario")).awaitTermination()
     assert sorted((r["filename"], r["v"]) for r in spark.read.schema(schema).json(table).collect()) == [("a", 1), ("b", 2)]
+
+
+def test_dependency_trees_of_every_order(spark):
+    from corpuskiln.plans.catalog import REGISTRY
+
+    sf = "/root/testdata/sf0.001"
+    lines = {}
+    for r in spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_quantity").collect():
+        mcc = lines.setdefault(str(r[0]), {})
+        # a repeated line counts with its branch
+        mcc[r[1]] = max(mcc.get(r[1], 1), 2 if r[2] > 25 else 1)
+
+    def tree(mcc, n):
+        return {"mcc": mcc.get(n), "children": {f"f{n - 1}": tree(mcc, n - 1)} if n in mcc else {}}
+
+    out = REGISTRY.queries["dependency_trees"](spark, sf).collect()
+    assert len(out) == len(lines) and {r["json_path"]: json.loads(r["tree"]) for r in out} == {k: tree(m, 3) for k, m in lines.items()}
