@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from corpuskiln.functions import machines
 from corpuskiln.functions.binding import let
+from corpuskiln.operators.splits import global_rank
 
 #: Queries that may be sent to every task.
 MAX_QUERIES = 10_000
@@ -83,19 +84,32 @@ def nearest(df: DataFrame, query: Column, k: int, id_col: str = "vec_id", vector
     return scored.withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("distance", id_col)))
 
 
-def nearest_of_each(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
-    """(query_id, rank, vec_id, distance) for a small set of queries, which is sent to every task.
-
-    More than MAX_QUERIES are refused: sets that grow with the table need an index.
-    """
-    if queries.count() > MAX_QUERIES:
-        raise ValueError(f"more than {MAX_QUERIES} queries")
+def _nearest_of_block(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
+    """(query_id, rank, vec_id, distance) for a set of queries that is sent to every task."""
     listed = F.broadcast(queries.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("__q")))
     scored = rows.join(listed, F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", squared_distance(F.col("embedding"), F.col("__q")).alias("distance"))
     order = Window.partitionBy("query_id").orderBy("distance", "vec_id")
     return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
+def nearest_of_each(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
+    """(query_id, rank, vec_id, distance) for every query, which are sent to every task in blocks of at most MAX_QUERIES.
+
+    A block is a range of query ids; each is run against all rows.  Only the
+    blocks' bounds reach the driver.
+    """
+    if queries.count() <= MAX_QUERIES:
+        return _nearest_of_block(queries, rows, k)
+    ranked = global_rank(queries.select("vec_id"), ["vec_id"])
+    bounds = [r["vec_id"] for r in ranked.filter((F.col("rn") - 1) % MAX_QUERIES == 0).orderBy("rn").collect()]
+    out = None
+    for low, high in zip(bounds, [*bounds[1:], None]):
+        block = queries.filter(F.col("vec_id") >= low if high is None else (F.col("vec_id") >= low) & (F.col("vec_id") < high))
+        hits = _nearest_of_block(block, rows, k)
+        out = hits if out is None else out.union(hits)
+    return out
+
+
 def best_per_source(hits: DataFrame, source: str = "source", query: str = "query_id") -> DataFrame:
     """The first hit of each source, in order of distance."""
     order = Window.partitionBy(query, source).orderBy("distance", "vec_id")

@@ -272,3 +272,13 @@ def test_dependency_trees_of_every_order(spark):
 
     out = REGISTRY.queries["dependency_trees"](spark, sf).collect()
     assert len(out) == len(lines) and {r["json_path"]: json.loads(r["tree"]) for r in out} == {k: tree(m, 3) for k, m in lines.items()}
+
+
+def test_nearest_takes_queries_in_blocks(spark, monkeypatch):
+    vectors = {i: [float((i * 37 + j * 11) % 23) for j in range(4)] for i in range(60)}
+    rows = spark.createDataFrame([(i, v) for i, v in vectors.items()], "vec_id bigint, embedding array<float>")
+    monkeypatch.setattr(chunks, "MAX_QUERIES", 7)
+    got = chunks.nearest_of_each(rows.filter("vec_id % 2 = 0"), rows, 3).collect()
+    far = lambda a, b: sum((x - y) ** 2 for x, y in zip(vectors[a], vectors[b]))
+    want = {(q, n + 1, v) for q in range(0, 60, 2) for n, v in enumerate(sorted((v for v in vectors if v != q), key=lambda v: (far(q, v), v))[:3])}
+    assert len(got) == 90 and {(r["query_id"], r["rank"], r["vec_id"]) for r in got} == want
