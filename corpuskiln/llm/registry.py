@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from corpuskiln.llm import ann, byte_bpe, chat_format, fingerprints, html_extract, language_id, line_dedup, near_dedup, packing, token_counts
 from corpuskiln.plans.registry import Query, Registry, table
@@ -25,6 +26,15 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_texts(table(spark, sf_dir, "documents"), WORD_BPE, END_ID)
 
 
+@LLM.add("packing_conversations")
+def packing_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole turns under three limits that all bind: tokens, segments and loss-bearing tokens."""
+    turns = packing.encode_turns(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"), WORD_BPE, END_ID)
+    turns = turns.select(F.struct("conv_id", "turn").alias("key"), "ids", "loss")
+    packed = packing.pack_examples(turns, packing.Limits(tokens=1024, segments=24, loss_tokens=384), "key", loss_col="loss")
+    return packed.select("key.*", *packed.columns[1:])
+
+
 @LLM.add("op3_near_dedup")
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
