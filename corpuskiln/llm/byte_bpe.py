@@ -1,12 +1,17 @@
 """Byte-level BPE encoding and decoding by tree reduction.
 
-A piece is encoded as the fold of a monoid: both halves are encoded on their
-own and joined.  A join re-encodes a window of tokens around the boundary and
-grows it until the pairs of tokens at its two edges are *compatible*.  Two
-neighbours are compatible if encoding their joined bytes gives the same two
-tokens again; a sequence whose neighbours are all compatible is the encoding of
-its bytes, so tokens outside the window can't change any more.  Decoding
-concatenates bytes up the same tree.
+A piece is encoded as the fold of a monoid over its bytes: single bytes are the
+leaves, both halves are encoded on their own and joined.  A join re-encodes a
+window of tokens around the boundary and grows it until the pairs of tokens at
+its two edges are *compatible*.  Two neighbours are compatible if encoding their
+joined bytes gives the same two tokens again; a sequence whose neighbours are
+all compatible is the encoding of its bytes, so tokens outside the window can't
+change any more.  Pieces never merge with each other, so above them the join is
+concatenation: a text's ids and its decoded bytes are folded up a tree of
+``FAN`` branches over its pieces.
+
+Every node of a tree depends on its bytes alone, so short ones are kept: the
+halves of new words are mostly known.
 
 Defined results: a null text counts as the empty text; the empty text has no
 tokens and decodes to nothing.  Every text is encoded whole, however long it
@@ -26,8 +31,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Pieces up to this many bytes are leaves of the tree.
-LEAF_BYTES = 32
+#: Branches of the tree above the pieces.
+FAN = 16
+#: Bytes of the longest node that is kept, and how many are; they are forgotten when there are more.
+NODE_BYTES, NODES = 8, 200_000
 #: Entries of a worker's memo of pieces; it is emptied when full.
 MEMO_ENTRIES = 400_000
 #: Longer pieces aren't kept in the memo.
@@ -43,27 +50,34 @@ def load_ranks(path: str) -> dict[bytes, int]:
 class TreeBpe:
     """Encoder of single pieces; ``encode`` is exact for every byte string."""
 
-    def __init__(self, ranks: dict[bytes, int], leaf_bytes: int = LEAF_BYTES) -> None:
+    def __init__(self, ranks: dict[bytes, int]) -> None:
         self.ranks = ranks
         self.token = {rank: token for token, rank in ranks.items()}
-        self.leaf_bytes = max(2, leaf_bytes)
-        self._compatible: dict[tuple[int, int], bool] = {}
+        #: What two neighbours become, by both tokens: themselves if they are compatible.
+        self._pairs: dict[tuple[int, int], list[int]] = {}
+        self._nodes: dict[bytes, list[int]] = {}
+        #: Joins done, and those of them that had to re-encode a window.
+        self.joins = self.windows = 0
 
     def encode(self, piece: bytes) -> list[int]:
-        known = self.ranks.get(piece)
+        """Tokens of the piece; the list may be shared and must not be changed."""
+        known = self._nodes.get(piece)
         if known is not None:
-            return [known]
-        if len(piece) <= self.leaf_bytes:
-            return self._leaf(piece)
-        middle = len(piece) // 2
-        return self._join(self.encode(piece[:middle]), self.encode(piece[middle:]))
+            return known
+        if len(piece) <= 1:
+            out = [self.ranks[piece]] if piece else []
+        else:
+            middle = len(piece) // 2
+            out = self._join(self.encode(piece[:middle]), self.encode(piece[middle:]))
+        if len(piece) <= NODE_BYTES:
+            if len(self._nodes) >= NODES:
+                self._nodes.clear()
+            self._nodes[piece] = out
+        return out
 
     def decode(self, ids: list[int]) -> bytes:
-        """Bytes of the ids, concatenated pairwise up the tree."""
-        parts = [self.token[i] for i in ids]
-        while len(parts) > 1:
-            parts = [b"".join(parts[i : i + 2]) for i in range(0, len(parts), 2)]
-        return parts[0] if parts else b""
+        """Bytes of the ids, concatenated up the tree."""
+        return fold([self.token[i] for i in ids], b"")
 
     def _leaf(self, piece: bytes) -> list[int]:
         """Merge the lowest-ranked pair, the leftmost of equals, until none is left."""
@@ -117,22 +131,30 @@ class TreeBpe:
             return [known]
         return self._leaf(piece) if len(piece) <= 128 else self._heap(piece)
 
+    def _pair(self, left: int, right: int) -> list[int]:
+        """What the two tokens become when they are neighbours."""
+        found = self._pairs.get((left, right))
+        if found is None:
+            if len(self._pairs) >= NODES:
+                self._pairs.clear()
+            found = self._pairs[left, right] = self._small(self.token[left] + self.token[right])
+        return found
+
     def _fits(self, left: int, right: int) -> bool:
         """Whether the two tokens stay as they are when they are neighbours."""
-        key = (left, right)
-        known = self._compatible.get(key)
-        if known is None:
-            if len(self._compatible) > 200_000:
-                self._compatible.clear()
-            known = self._compatible[key] = self._small(self.token[left] + self.token[right]) == [left, right]
-        return known
+        found = self._pair(left, right)
+        return len(found) == 2 and found[0] == left
 
     def _join(self, left: list[int], right: list[int]) -> list[int]:
-        if not left or not right or self._fits(left[-1], right[0]):
+        if not left or not right:
+            return left or right
+        self.joins += 1
+        window = self._pair(left[-1], right[0])
+        if len(window) == 2 and window[0] == left[-1]:
             return left + right
+        self.windows += 1
         i = j = 1
         while True:
-            window = self._small(b"".join(self.token[t] for t in left[-i:] + right[:j]))
             open_left = i < len(left) and not self._fits(left[-i - 1], window[0])
             open_right = j < len(right) and not self._fits(window[-1], right[j])
             if not open_left and not open_right:
@@ -141,6 +163,14 @@ class TreeBpe:
                 i = min(len(left), 2 * i)
             if open_right:
                 j = min(len(right), 2 * j)
+            window = self._small(b"".join([self.token[t] for t in left[-i:] + right[:j]]))
+
+
+def fold(parts: list, joint: str | bytes) -> str | bytes:
+    """The parts joined up a tree of FAN branches."""
+    while len(parts) > FAN:
+        parts = [joint.join(parts[i : i + FAN]) for i in range(0, len(parts), FAN)]
+    return joint.join(parts)
 
 
 class Memo(dict):
@@ -175,10 +205,7 @@ def memo(ranks_path: str, pattern: str) -> tuple[Memo, regex.Pattern]:
 def encode_text(text: str, known: Memo, pattern: regex.Pattern) -> tuple[str, bytes]:
     """Ids of a whole text joined by commas, and the bytes they decode to."""
     entries = list(map(known.__getitem__, pattern.findall(text)))
-    if not entries:
-        return "", b""
-    ids, decoded = zip(*entries)
-    return ",".join(ids), b"".join(decoded)
+    return fold([ids for ids, _ in entries], ","), fold([decoded for _, decoded in entries], b"")
 
 
 def encode_decode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:

@@ -1,6 +1,7 @@
 import hashlib
 
 import public_tokenizers as P
+import pyarrow.parquet as pq
 import pytest
 import regex
 import tiktoken
@@ -15,15 +16,40 @@ TRUTH = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=RANKS, speci
 PATTERN = regex.compile(P.PATTERN)
 
 
-def encode(text, leaf=3):
-    ids, decoded = byte_bpe.encode_text(text, byte_bpe.Memo(byte_bpe.TreeBpe(RANKS, leaf)), PATTERN)
+def encode(text):
+    ids, decoded = byte_bpe.encode_text(text, byte_bpe.Memo(byte_bpe.TreeBpe(RANKS)), PATTERN)
     return [int(i) for i in ids.split(",")] if ids else [], decoded
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.text(max_size=60), st.sampled_from([2, 3, 8, 32]))
-def test_any_text_as_the_library_does(text, leaf):
-    assert encode(text, leaf) == (TRUTH.encode_ordinary(text), text.encode())
+@given(st.text(max_size=60))
+def test_any_text_as_the_library_does(text):
+    assert encode(text) == (TRUTH.encode_ordinary(text), text.encode())
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="abeinrst", min_size=2, max_size=200))
+def test_long_words_as_the_library_does(text):
+    assert encode(text) == (TRUTH.encode_ordinary(text), text.encode())
+
+
+def test_the_tree_goes_down_to_single_bytes(monkeypatch):
+    bpe = byte_bpe.TreeBpe(RANKS)
+    monkeypatch.setattr(byte_bpe, "NODE_BYTES", 0)
+    assert bpe.encode(b"unbelievably") == TRUTH.encode_ordinary("unbelievably") and bpe.joins == 11 and bpe.windows > 0
+    rows = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column(0).to_pylist()
+    bpe = byte_bpe.TreeBpe(RANKS)
+    memo = byte_bpe.Memo(bpe)
+    for text in rows:
+        ids, decoded = byte_bpe.encode_text(text, memo, PATTERN)
+        assert ids == ",".join(map(str, TRUTH.encode_ordinary(text))) and decoded == text.encode()
+    assert bpe.joins > len(memo) and bpe.windows > len(memo) / 10
+
+
+@pytest.mark.parametrize("n", [0, 1, 15, 16, 17, 256, 257, 5000])
+def test_fold(n):
+    parts = [str(i) for i in range(n)]
+    assert byte_bpe.fold(parts, ",") == ",".join(parts)
 
 
 @pytest.mark.parametrize("text", ["a" * 20_000, "ab" * 9_000, "é" * 9_000, " " * 9_000 + "x", "thequickbrownfox" * 900, "日本" * 4_000, "\x1c\x85\r\n\t"])
