@@ -7,8 +7,14 @@ similarity.  Samples are banded; texts that share a band are candidates, and a
 candidate pair is linked if its exact weighted Jaccard similarity reaches the
 threshold.  Classes are the connected components of the links.
 
-Document frequencies are counted in ``2 ** DF_BITS`` hashed features over the
-whole table, so what every task needs is 1 MB whatever the table's size.
+Document frequencies are exact for every shingle that a share of RARE of all
+documents holds; a rarer one has the weight of one right at RARE.  As a share
+doesn't depend on the table's size, neither does a weight.  A first pass counts
+all shingles in ``2 ** DF_BITS`` hashed features, which bounds each frequency
+from above; a second one counts the shingles of the features that reach the
+share by themselves.  No more than mean shingles a document / RARE can reach it,
+and RARE grows with the mean so that these are at most COMMON: that many, and a
+bit a feature, is what every task is sent, whatever the table's size.
 
 Candidates.  Equal texts are put together first and only one of each takes
 part.  In a band's bucket every text is paired with the bucket's first text
@@ -35,7 +41,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,14 +53,17 @@ THRESHOLD = 0.8
 #: Bands, and samples of a band: a pair at the threshold misses all bands with a probability of (1 - 0.8 ** 3) ** 10 = 0.0008.
 BANDS, ROWS = 10, 3
 SAMPLES = BANDS * ROWS
-DF_BITS = 18
-#: Document frequencies are summed in parts of so many features.
-DF_PART = 4096
+#: Hashed features of the first pass are summed in parts of so many, which meet over two levels of so many groups.
+DF_BITS, DF_PART, DF_GROUPS = 20, 16_384, 256
+#: Share of the documents below which a shingle counts as rare, and shingles that may be common at most.
+RARE, COMMON = 1 / 128, 1 << 18
 #: Bytes of text, or shingles, worked on at once.
 BLOCK_BYTES = 1 << 19
 SHINGLES_AT_ONCE = 1 << 14
 #: Parts that a bucket's texts are spread over.
 SALTS = 8
+#: Pairs of one text that one task compares; texts with more of them, if they aren't too many, are sent to all tasks that compare them.
+PAIRS_A_TASK, SENT_TEXTS = 4096, 100_000
 
 _M1, _M2, _M3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 _WORD_BYTE = np.array([chr(b).isalnum() or b == 95 if b < 128 else True for b in range(256)], dtype=bool)
@@ -90,33 +99,43 @@ _BYTE_PLACES = 64
 _BYTE_MIX = _mix(((np.arange(_BYTE_PLACES, dtype=np.uint64)[:, None] << np.uint64(8)) + np.arange(256, dtype=np.uint64)[None]) * _M3 + _M2)
 
 
-def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For lowered texts: text number, shingle hash and count, by text and hash."""
+def occurrences(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """For lowered texts: text number and shingle hash of every shingle, by text, then place (those of short texts at the end)."""
     sizes = np.array([len(t) + 1 for t in texts], dtype=np.int64)
     offsets = np.cumsum(sizes) - sizes
     data = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
     starts, words = _word_hashes(data)
-    of = np.searchsorted(offsets, starts, side="right") - 1
-    count = np.bincount(of, minlength=len(texts))
-    full = count >= WORDS
+    count = np.diff(np.searchsorted(starts, np.append(offsets, len(data))))
+    of = np.repeat(np.arange(len(texts)), count)
     hashed = np.zeros(len(words), dtype=np.uint64)
-    for k in range(WORDS):
-        hashed[: len(words) - k or None] = _mix(hashed[: len(words) - k or None] * _M3 + words[k:]) if k < len(words) else hashed[: len(words) - k or None]
+    for k in range(min(WORDS, len(words))):
+        end = len(words) - k
+        hashed[:end] = _mix(hashed[:end] * _M3 + words[k:])
     begin = np.cumsum(count) - count
-    place = np.arange(len(words)) - begin[of]
-    whole = place + WORDS <= count[of]
+    whole = np.arange(len(words)) - begin[of] + WORDS <= count[of]
     owner, value = of[whole], hashed[whole]
-    short = np.flatnonzero(~full & (count > 0))
+    short = np.flatnonzero((count < WORDS) & (count > 0))
     if len(short):
         few = [_short_hash(words[begin[i] : begin[i] + count[i]]) for i in short]
         owner, value = np.concatenate([owner, short]), np.concatenate([value, np.array(few, dtype=np.uint64)])
-    order = np.lexsort((value, owner))
-    owner, value = owner[order], value[order]
+    return owner, value
+
+
+def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For lowered texts: text number, shingle hash and count, by text and hash."""
+    owner, value = occurrences(texts)
     if not len(owner):
         return owner, value, np.zeros(0, dtype=np.int64)
-    new = np.concatenate(([True], (owner[1:] != owner[:-1]) | (value[1:] != value[:-1])))
+    bits = np.uint64(max(1, len(texts).bit_length()))
+    order = np.argsort((owner.astype(np.uint64) << (np.uint64(64) - bits)) | (value >> bits))
+    o, v = owner[order], value[order]
+    if ((o[1:] == o[:-1]) & (v[1:] < v[:-1])).any():
+        # hashes that differ in their last bits only
+        order = np.lexsort((value, owner))
+        o, v = owner[order], value[order]
+    new = np.concatenate(([True], (o[1:] != o[:-1]) | (v[1:] != v[:-1])))
     first = np.flatnonzero(new)
-    return owner[first], value[first], np.diff(np.append(first, len(owner)))
+    return o[first], v[first], np.diff(np.append(first, len(o)))
 
 
 def _short_hash(words: np.ndarray) -> np.uint64:
@@ -146,53 +165,105 @@ def _lowered(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in pc.utf8_lower(column).cast(pa.binary()).to_pylist()]
 
 
-def document_frequencies(texts: DataFrame) -> np.ndarray:
-    """Documents with each hashed feature, and at the end all documents, over the whole table.
+class Idf:
+    """Weights of shingles: between 1 (in every document) and 2 (rare)."""
+
+    def __init__(self, documents: int, rare: float, values: np.ndarray, counts: np.ndarray) -> None:
+        order = np.argsort(values)
+        self.rare, self.values = rare, values[order]
+        share = np.minimum(counts[order] / max(documents, 1), 1.0)
+        # held to a factor of two, the weights leave near copies alike that many documents share
+        self.weights = (1 + np.log(1 / np.maximum(share, rare)) / np.log(1 / rare)).astype(np.float32)
+        self.common = np.zeros(1 << DF_BITS, dtype=bool)
+        self.common[_feature(values)] = True
+
+    def of(self, value: np.ndarray) -> np.ndarray:
+        out = np.full(len(value), 2.0, dtype=np.float32)
+        maybe = np.flatnonzero(self.common[_feature(value)])
+        if len(maybe):
+            at = np.minimum(np.searchsorted(self.values, value[maybe]), len(self.values) - 1)
+            hit = self.values[at] == value[maybe]
+            out[maybe[hit]] = self.weights[at[hit]]
+        return out
 
-    A task sends its 2 ** DF_BITS sums once, and the parts are added up by part.
+
+def feature_counts(texts: DataFrame) -> tuple[int, np.ndarray]:
+    """Documents, and shingles with repeats in each hashed feature, over the whole table.
+
+    A task sends its counts in parts; those of a part are added up in groups of
+    tasks first, so no task reads the counts of all.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, docs = np.zeros(1 << DF_BITS, dtype=np.int64), 0
         for batch in batches:
             for _, group in _groups(_lowered(batch.column(0))):
-                owner, value, _ = shingles(group)
-                feature = np.unique(owner * (1 << DF_BITS) + _feature(value)) & ((1 << DF_BITS) - 1)
-                total += np.bincount(feature, minlength=1 << DF_BITS)
+                total += np.bincount(_feature(occurrences(group)[1]), minlength=1 << DF_BITS)
             docs += batch.num_rows
-        parts = [p.astype("<i4").tobytes() for p in total.reshape(-1, DF_PART)]
-        yield pa.RecordBatch.from_arrays([pa.array([-1, *range(len(parts))], pa.int32()), pa.array([np.array([docs], dtype="<i4").tobytes(), *parts], pa.binary())], ["part", "counts"])
+        if docs:
+            parts = [np.array([docs]), *total.reshape(-1, DF_PART)]
+            group = TaskContext.get().partitionId() % DF_GROUPS
+            yield _parts([(k - 1, group, x.astype("<i8")) for k, x in enumerate(parts) if x.any()])
 
     def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
+        sums: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
-            for part, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                one = np.frombuffer(counts, dtype="<i4").astype(np.int64) if len(counts) in (4, 4 * DF_PART) else np.frombuffer(counts, dtype="<i8")
-                sums[part] = sums[part] + one if part in sums else one
-        keys = sorted(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array([sums[k].tobytes() for k in keys], pa.binary())], ["part", "counts"])
-
-    partial = texts.mapInArrow(run, "part int, counts binary")
-    rows = partial.repartition("part").mapInArrow(add, "part int, counts binary").collect()
-    out = np.zeros((1 << DF_BITS) + 1, dtype=np.int64)
-    for r in rows:
+            for part, group, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                one = np.frombuffer(counts, dtype="<i8")
+                sums[part, group] = sums[part, group] + one if (part, group) in sums else one
+        yield _parts([(part, group, x) for (part, group), x in sums.items()])
+
+    schema = "part int, group int, counts binary"
+    by_group = texts.mapInArrow(run, schema).repartition("part", "group").mapInArrow(add, schema).withColumn("group", F.lit(0))
+    out, docs = np.zeros(1 << DF_BITS, dtype=np.int64), 0
+    for r in by_group.repartition("part").mapInArrow(add, schema).collect():
         counts = np.frombuffer(bytes(r["counts"]), dtype="<i8")
         if r["part"] < 0:
-            out[-1] = counts[0]
+            docs = int(counts[0])
         else:
             out[r["part"] * DF_PART : (r["part"] + 1) * DF_PART] = counts
-    return out
+    return docs, out
 
 
-def inverse_frequencies(frequencies: np.ndarray) -> np.ndarray:
-    """1 + ln((1 + documents) / (1 + documents with the feature)) / ln(1 + documents), between 1 and 2.
+def _parts(rows: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
+    part, group, counts = zip(*rows) if rows else ((), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(group, pa.int32()), pa.array([x.tobytes() for x in counts], pa.binary())], ["part", "group", "counts"])
 
-    Held to a factor of two, the weights leave near copies alike that many
-    documents share: without it a group of copies that holds much of the table
-    has light common shingles, and a single changed word outweighs them.
-    """
-    documents = max(int(frequencies[-1]), 1)
-    return (1 + np.log((1 + documents) / (1 + np.minimum(frequencies[:-1], documents))) / np.log(1 + documents)).astype(np.float32)
+
+def inverse_frequencies(texts: DataFrame) -> Idf:
+    """Weights by the documents that hold each shingle, over the whole table (one column of non-null texts)."""
+    documents, counts = feature_counts(texts)
+    rare = min(max(RARE, counts.sum() / max(documents, 1) / COMMON), 0.5)
+    least = rare * documents
+    wanted = texts.sparkSession.sparkContext.broadcast(np.packbits(counts >= least))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chosen = np.unpackbits(wanted.value).astype(bool)
+        held: list[np.ndarray] = []
+        size = 0
+
+        def flush() -> pa.RecordBatch:
+            values, n = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n.astype(np.int64))], ["value", "n"])
+
+        for batch in batches:
+            for _, group in _groups(_lowered(batch.column(0))):
+                owner, value = occurrences(group)
+                at = np.flatnonzero(chosen[_feature(value)])
+                owner, value = owner[at], value[at]
+                order = np.lexsort((value, owner))
+                owner, value = owner[order], value[order]
+                held.append(value[np.concatenate(([True], (owner[1:] != owner[:-1]) | (value[1:] != value[:-1])))] if len(value) else value)
+                size += len(held[-1])
+                if size > 1 << 20:
+                    yield flush()
+                    size = 0
+        if held:
+            yield flush()
+
+    common = texts.mapInArrow(run, "value bigint, n bigint").groupBy("value").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).toPandas()
+    return Idf(documents, rare, common["value"].to_numpy(np.int64).view(np.uint64), common["n"].to_numpy(np.int64))
 
 
 def _uniform(x: np.ndarray) -> np.ndarray:
@@ -248,16 +319,20 @@ _SEEDS = _mix(np.arange(1, SAMPLES + 1, dtype=np.uint64) * _M3)
 
 
 def signatures(texts: DataFrame, idf: Broadcast) -> DataFrame:
-    """Adds ``bands`` to ``texts`` (which must have __text): a hash per band, or none for a text without features."""
-    at = texts.columns.index("__text")
+    """Adds ``bands`` to ``texts`` (which must have __tid, equal for equal texts, and __text): a hash per band, or none for a text without features."""
+    at, own = texts.columns.index("__text"), texts.columns.index("__tid")
     keep = [c for c in texts.columns if c != "__text"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bands: list[list[int]] = []
-            for _, group in _groups(_lowered(batch.column(at))):
+            # copies in a batch are signed once
+            coded = batch.column(own).dictionary_encode()
+            codes = coded.indices.to_numpy()
+            _, first = np.unique(codes, return_index=True)
+            for _, group in _groups(_lowered(batch.column(at).take(pa.array(first)))):
                 owner, value, count = shingles(group)
-                weight = count * idf.value[_feature(value)]
+                weight = count * idf.value.of(value)
                 samples = consistent_samples(owner, value, weight, len(group))
                 for row in samples:
                     if not row[0]:
@@ -267,7 +342,7 @@ def signatures(texts: DataFrame, idf: Broadcast) -> DataFrame:
                     for r in range(ROWS):
                         h = _mix(h * _M3 + row[r::ROWS])
                     bands.append(h.view(np.int64).tolist())
-            arrays = [batch.column(batch.schema.get_field_index(c)) for c in keep] + [pa.array(bands, pa.list_(pa.int64()))]
+            arrays = [batch.column(batch.schema.get_field_index(c)) for c in keep] + [pa.array(bands, pa.list_(pa.int64())).take(coded.indices)]
             yield pa.RecordBatch.from_arrays(arrays, [*keep, "bands"])
 
     kept = ", ".join(f"{c} {texts.schema[c].dataType.simpleString()}" for c in keep)
@@ -293,7 +368,7 @@ def verify(pairs: DataFrame, texts: DataFrame, idf: Broadcast) -> DataFrame:
                 if len(known) >= 64:
                     known.clear()
                 _, value, count = shingles([text])
-                known[key] = value, count * idf.value[_feature(value)]
+                known[key] = value, count * idf.value.of(value)
             return known[key]
 
         for batch in batches:
@@ -302,14 +377,25 @@ def verify(pairs: DataFrame, texts: DataFrame, idf: Broadcast) -> DataFrame:
             like = [weighted_jaccard(features(x, s), features(y, t)) for x, y, s, t in zip(a, b, left, right)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(like, pa.float64())], ["a", "b", "similarity"])
 
-    both = (
-        pairs.join(texts.select(F.col("__tid").alias("a"), F.col("__text").alias("__s")), "a")
-        .join(texts.select(F.col("__tid").alias("b"), F.col("__text").alias("__t")), "b")
-        .select("a", "b", "__s", "__t")
-    )
+    both = _with_first_text(pairs, texts).join(texts.select(F.col("__tid").alias("b"), F.col("__text").alias("__t")), "b").select("a", "b", "__s", "__t")
     return both.mapInArrow(run, "a string, b string, similarity double")
 
 
+def _with_first_text(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """``pairs`` with __s, the text of a; a text of many pairs is sent to as many parts as they fill."""
+    firsts = texts.select(F.col("__tid").alias("a"), F.col("__text").alias("__s"))
+    hot = cut(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > PAIRS_A_TASK).select("a", F.expr(f"1 + n div {PAIRS_A_TASK}").alias("parts")))
+    n = hot.count()
+    if not n:
+        return pairs.join(firsts, "a")
+    if n <= SENT_TEXTS:
+        hot = F.broadcast(hot)
+    parts = F.coalesce("parts", F.lit(1))
+    spread = pairs.join(hot, "a", "left").withColumn("part", F.pmod(F.xxhash64("b"), parts)).drop("parts")
+    firsts = firsts.join(hot, "a", "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("parts")
+    return spread.join(firsts, ["a", "part"]).drop("part")
+
+
 def _linked(pairs: DataFrame, texts: DataFrame, idf: Broadcast, threshold: float) -> DataFrame:
     return verify(pairs, texts, idf).filter(F.col("similarity") >= threshold).select("a", "b")
 
@@ -345,8 +431,7 @@ def _salted_join(left: DataFrame, right: DataFrame, key: str, spread: str) -> Da
 def classify_texts(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(__tid, class) of the texts that are near another one; ``rows`` has __id, __tid (hash of the text) and __text."""
     rows = rows.filter("__text IS NOT NULL")
-    frequencies = document_frequencies(rows.select("__text"))
-    idf = rows.sparkSession.sparkContext.broadcast(inverse_frequencies(frequencies))
+    idf = rows.sparkSession.sparkContext.broadcast(inverse_frequencies(rows.select("__text")))
     signed = signatures(rows, idf).filter("size(bands) > 0").groupBy("__tid").agg(F.min("__id").alias("__id"), F.first("bands").alias("bands"))
     signed = cut(signed)
     in_bands = signed.select(F.col("__tid").alias("tid"), F.explode("bands").alias("bucket"))
@@ -357,10 +442,22 @@ def classify_texts(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     chosen = (rows["__tid"] == involved["__tid"]) & rows["__id"].eqNullSafe(involved["__rid"])
     texts = cut(rows.join(involved.hint("shuffle_hash"), chosen, "left_semi").select("__tid", "__text").dropDuplicates(["__tid"]))
     first_pairs = cut(_first_pairs(buckets))
-    links = cut(_linked(first_pairs, texts, idf, threshold))
-    classes = connected_components(links, "a", "b").select(F.col("node").alias("tid"), F.col("component").alias("class"))
-    more = cut(_linked(_cross_pairs(buckets, classes).join(first_pairs, ["a", "b"], "left_anti"), texts, idf, threshold))
-    return connected_components(links.union(more), "a", "b").select(F.col("node").alias("__tid"), F.col("component").alias("class"))
+    least = first_pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    links = cut(_linked(least, texts, idf, threshold))
+    links = cut(links.union(_linked(_across(first_pairs, _classes(links)).join(least, ["a", "b"], "left_anti"), texts, idf, threshold)))
+    more = cut(_linked(_cross_pairs(buckets, _classes(links)).join(first_pairs, ["a", "b"], "left_anti"), texts, idf, threshold))
+    return _classes(links.union(more)).withColumnRenamed("tid", "__tid")
+
+
+def _classes(links: DataFrame) -> DataFrame:
+    return connected_components(links, "a", "b").select(F.col("node").alias("tid"), F.col("component").alias("class"))
+
+
+def _across(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs whose texts aren't of one class."""
+    both = pairs.join(classes.select(F.col("tid").alias("b"), F.col("class").alias("__b")), "b", "left")
+    both = _salted_join(both, classes.select(F.col("tid").alias("a"), F.col("class").alias("__a")), "a", "b")
+    return both.filter(F.coalesce("__a", "a") != F.coalesce("__b", "b")).select("a", "b")
 
 
 def _with_class(df: DataFrame, id_col: str, text_col: str, threshold: float) -> DataFrame:

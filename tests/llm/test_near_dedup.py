@@ -1,5 +1,6 @@
+import math
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -7,20 +8,34 @@ import pytest
 from corpuskiln.llm import near_dedup as N
 
 
+def plain_shingles(text):
+    """Counts of five-word tuples, by the docstring alone."""
+    words = "".join(c if c.isascii() and (c.isalnum() or c == "_") or ord(c) > 127 else " " for c in (text or "").lower()).split(" ")
+    words = [w for w in words if w]
+    return Counter(tuple(words[k : k + 5]) for k in range(len(words) - 4)) if len(words) >= 5 else Counter([tuple(words)] if words else [])
+
+
+def plain_weights(texts):
+    """Weighted shingles of each text: counts times inverse document frequencies."""
+    counts = [plain_shingles(t) for t in texts]
+    documents = [c for c, t in zip(counts, texts) if t is not None]
+    frequency = Counter(g for c in documents for g in c)
+    mean = sum(sum(c.values()) for c in documents) / max(len(documents), 1)
+    rare = min(max(1 / 128, mean / 2**18), 0.5)
+    idf = {g: 1 + math.log(1 / max(n / len(documents), rare)) / math.log(1 / rare) for g, n in frequency.items()}
+    return [{g: n * idf.get(g, 2.0) for g, n in c.items()} for c in counts]
+
+
+def plain_jaccard(a, b):
+    shared = sum(min(a[g], b[g]) for g in a.keys() & b.keys())
+    total = sum(a.values()) + sum(b.values()) - shared
+    return shared / total if total else 0.0
+
+
 def truth(rows, threshold=N.THRESHOLD):
-    """(class of each row index) by exact weighted Jaccard over all pairs."""
+    """(class of each row index) by exact weighted Jaccard over all pairs; nothing of it comes from the module but the threshold."""
     texts = [t for _, t in rows]
-    lowered = [(t or "").lower().encode() for t in texts]
-    freq = np.zeros((1 << N.DF_BITS) + 1, dtype=np.int64)
-    sets = []
-    for t, low in zip(texts, lowered):
-        _, v, k = N.shingles([low])
-        sets.append((v, k))
-        if t is not None:
-            freq[np.unique(N._feature(v))] += 1
-            freq[-1] += 1
-    idf = N.inverse_frequencies(freq)
-    weighted = [(v, k * idf[N._feature(v)]) for v, k in sets]
+    weighted = plain_weights(texts)
     parent = list(range(len(rows)))
 
     def find(x):
@@ -30,7 +45,7 @@ def truth(rows, threshold=N.THRESHOLD):
 
     for i in range(len(rows)):
         for j in range(i):
-            if texts[i] == texts[j] or (texts[i] is not None and texts[j] is not None and N.weighted_jaccard(weighted[i], weighted[j]) >= threshold):
+            if texts[i] == texts[j] or (texts[i] is not None and texts[j] is not None and weighted[i].keys() & weighted[j].keys() and plain_jaccard(weighted[i], weighted[j]) >= threshold):
                 parent[find(i)] = find(j)
     return [find(i) for i in range(len(rows))]
 
@@ -115,8 +130,28 @@ def test_cross_pairs_reach_across_classes_only(spark):
     assert got == {("a", "d"), ("b", "d"), ("c", "d"), ("a", "e"), ("b", "e"), ("c", "e"), ("d", "e")}
 
 
-def test_document_frequencies(spark, docs):
-    texts = ["a b c d e f", "a b c d e f", "z"]
-    freq = N.document_frequencies(docs(list(enumerate(texts))).repartition(3).selectExpr("text"))
-    _, value, _ = N.shingles([texts[0].encode()])
-    assert freq[-1] == 3 and all(freq[f] >= 2 for f in N._feature(value)) and freq[:-1].sum() == pytest.approx(5)
+def test_document_frequencies(spark, docs, monkeypatch):
+    rng = random.Random(6)
+    common = " ".join(f"c{k}" for k in range(9))
+    texts = [" ".join(f"r{i}x{k}" for k in range(20)) + (" " + common if i % 3 else "") + (" " + common if i % 5 == 0 else "") for i in range(200)] + [f"few {rng.randint(0, 3)}" for _ in range(50)] + [""]
+    weighted = plain_weights(texts)
+    for groups in (1, 256):
+        monkeypatch.setattr(N, "DF_GROUPS", groups)
+        idf = N.inverse_frequencies(docs(list(enumerate(texts))).repartition(5).selectExpr("text"))
+        for text, want in zip(texts, weighted):
+            _, value, count = N.shingles([text.encode()])
+            assert sorted((count * idf.of(value)).tolist()) == pytest.approx(sorted(want.values()), rel=1e-5)
+    assert len(idf.values) == 9 + len(set(texts[200:250]))
+
+
+def test_a_text_of_many_pairs_is_spread(spark, docs, monkeypatch):
+    monkeypatch.setattr(N, "PAIRS_A_TASK", 10)
+    rng = random.Random(9)
+    words = [f"w{k}" for k in range(200)]
+    rows = [(k, near(rng, words, 1)) for k in range(150)] + [(500 + k, f"own {k} " * 20) for k in range(20)]
+    got = {r["doc_id"]: r["class_id"] for r in N.near_duplicates(docs(rows)).collect()}
+    want = truth(rows)
+    assert same_classes([got[i] for i, _ in rows], want)
+    pairs = spark.createDataFrame([("a", f"b{k}") for k in range(95)] + [("c", "d")], "a string, b string")
+    texts = spark.createDataFrame([("a", "A"), ("c", "C")], "__tid string, __text string")
+    assert sorted(tuple(r) for r in N._with_first_text(pairs, texts).select("a", "b", "__s").collect()) == sorted([("a", f"b{k}", "A") for k in range(95)] + [("c", "d", "C")])
