@@ -22,7 +22,8 @@ only, which joins a group of near copies in as many pairs as it has texts.
 Then, in a bucket that still holds several classes, every text outside its
 largest class is compared with the texts of all its other classes.  So each two
 different texts that share a bucket are in one class or were compared, yet the
-pairs within a class are never listed.
+pairs within a class are never listed.  A pair whose total weights are too far
+apart to reach the threshold is left out before its texts are fetched.
 
 Words are runs of ASCII letters, digits, underscores and any other code points
 above 127 of the lowered text; a text of fewer than five words is one shingle
@@ -319,13 +320,14 @@ _SEEDS = _mix(np.arange(1, SAMPLES + 1, dtype=np.uint64) * _M3)
 
 
 def signatures(texts: DataFrame, idf: Broadcast) -> DataFrame:
-    """Adds ``bands`` to ``texts`` (which must have __tid, equal for equal texts, and __text): a hash per band, or none for a text without features."""
+    """Adds ``bands`` to ``texts`` (which must have __tid, equal for equal texts, and __text): a hash per band, or none for a text without features; and its total ``weight``."""
     at, own = texts.columns.index("__text"), texts.columns.index("__tid")
     keep = [c for c in texts.columns if c != "__text"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bands: list[list[int]] = []
+            weights: list[float] = []
             # copies in a batch are signed once
             coded = batch.column(own).dictionary_encode()
             codes = coded.indices.to_numpy()
@@ -333,6 +335,7 @@ def signatures(texts: DataFrame, idf: Broadcast) -> DataFrame:
             for _, group in _groups(_lowered(batch.column(at).take(pa.array(first)))):
                 owner, value, count = shingles(group)
                 weight = count * idf.value.of(value)
+                weights += np.bincount(owner, weight, len(group)).tolist()
                 samples = consistent_samples(owner, value, weight, len(group))
                 for row in samples:
                     if not row[0]:
@@ -342,11 +345,11 @@ def signatures(texts: DataFrame, idf: Broadcast) -> DataFrame:
                     for r in range(ROWS):
                         h = _mix(h * _M3 + row[r::ROWS])
                     bands.append(h.view(np.int64).tolist())
-            arrays = [batch.column(batch.schema.get_field_index(c)) for c in keep] + [pa.array(bands, pa.list_(pa.int64())).take(coded.indices)]
-            yield pa.RecordBatch.from_arrays(arrays, [*keep, "bands"])
+            arrays = [batch.column(batch.schema.get_field_index(c)) for c in keep] + [pa.array(bands, pa.list_(pa.int64())).take(coded.indices), pa.array(weights, pa.float64()).take(coded.indices)]
+            yield pa.RecordBatch.from_arrays(arrays, [*keep, "bands", "weight"])
 
     kept = ", ".join(f"{c} {texts.schema[c].dataType.simpleString()}" for c in keep)
-    return texts.mapInArrow(run, f"{kept}, bands array<bigint>")
+    return texts.mapInArrow(run, f"{kept}, bands array<bigint>, weight double")
 
 
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -400,14 +403,20 @@ def _linked(pairs: DataFrame, texts: DataFrame, idf: Broadcast, threshold: float
     return verify(pairs, texts, idf).filter(F.col("similarity") >= threshold).select("a", "b")
 
 
-def _first_pairs(buckets: DataFrame) -> DataFrame:
-    """Every text of a bucket with the bucket's first text."""
-    firsts = buckets.groupBy("bucket").agg(F.min("tid").alias("a"))
-    return buckets.join(firsts, "bucket").filter("a <> tid").select("a", F.col("tid").alias("b")).distinct()
+def _may_reach(threshold: float, a: str, b: str) -> F.Column:
+    """Whether texts of these total weights can be alike enough: no more than the smaller weight is shared, no less than the larger is in all."""
+    return F.least(a, b) >= F.greatest(a, b) * (threshold * (1 - 1e-6))
 
 
-def _cross_pairs(buckets: DataFrame, classes: DataFrame) -> DataFrame:
-    """In buckets of several classes: texts outside the largest class, with the texts of all other classes.
+def _first_pairs(buckets: DataFrame, threshold: float) -> DataFrame:
+    """Every text of a bucket with the bucket's first text, if they may reach the threshold."""
+    firsts = buckets.groupBy("bucket").agg(F.min(F.struct("tid", "weight")).alias("first"))
+    both = buckets.join(firsts, "bucket").select(F.col("first.tid").alias("a"), F.col("first.weight").alias("w"), F.col("tid").alias("b"), "weight")
+    return both.filter((F.col("a") != F.col("b")) & _may_reach(threshold, "w", "weight")).select("a", "b").distinct()
+
+
+def _cross_pairs(buckets: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """In buckets of several classes: texts outside the largest class, with the texts of all other classes that may reach the threshold.
 
     A bucket's rows are spread over SALTS parts and the few texts outside the
     largest class are sent to each part.
@@ -416,8 +425,8 @@ def _cross_pairs(buckets: DataFrame, classes: DataFrame) -> DataFrame:
     sizes = members.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("n"))
     several = sizes.groupBy("bucket").agg(F.max_by("class", F.struct("n", "class")).alias("largest"), F.count(F.lit(1)).alias("k")).filter("k > 1").drop("k")
     rows = members.join(several, "bucket").withColumn("salt", F.pmod(F.xxhash64("tid"), F.lit(SALTS)).cast("int"))
-    outside = rows.filter("class <> largest").select("bucket", F.col("tid").alias("x"), F.col("class").alias("of"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    met = rows.join(outside, ["bucket", "salt"]).filter("class <> of")
+    outside = rows.filter("class <> largest").select("bucket", F.col("tid").alias("x"), F.col("class").alias("of"), F.col("weight").alias("w"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    met = rows.join(outside, ["bucket", "salt"]).filter((F.col("class") != F.col("of")) & _may_reach(threshold, "w", "weight"))
     return met.select(F.least("tid", "x").alias("a"), F.greatest("tid", "x").alias("b")).distinct()
 
 
@@ -432,20 +441,20 @@ def classify_texts(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(__tid, class) of the texts that are near another one; ``rows`` has __id, __tid (hash of the text) and __text."""
     rows = rows.filter("__text IS NOT NULL")
     idf = rows.sparkSession.sparkContext.broadcast(inverse_frequencies(rows.select("__text")))
-    signed = signatures(rows, idf).filter("size(bands) > 0").groupBy("__tid").agg(F.min("__id").alias("__id"), F.first("bands").alias("bands"))
+    signed = signatures(rows, idf).filter("size(bands) > 0").groupBy("__tid").agg(F.min("__id").alias("__id"), F.first("bands").alias("bands"), F.first("weight").alias("weight"))
     signed = cut(signed)
-    in_bands = signed.select(F.col("__tid").alias("tid"), F.explode("bands").alias("bucket"))
+    in_bands = signed.select(F.col("__tid").alias("tid"), "weight", F.explode("bands").alias("bucket"))
     shared = in_bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
     buckets = cut(in_bands.join(shared, "bucket"))
     involved = signed.join(buckets.select(F.col("tid").alias("__tid")).distinct(), "__tid", "left_semi").select("__tid", F.col("__id").alias("__rid"))
     # a text meets its one representative by text and id, so the copies of a text are spread over all parts
     chosen = (rows["__tid"] == involved["__tid"]) & rows["__id"].eqNullSafe(involved["__rid"])
     texts = cut(rows.join(involved.hint("shuffle_hash"), chosen, "left_semi").select("__tid", "__text").dropDuplicates(["__tid"]))
-    first_pairs = cut(_first_pairs(buckets))
+    first_pairs = cut(_first_pairs(buckets, threshold))
     least = first_pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     links = cut(_linked(least, texts, idf, threshold))
     links = cut(links.union(_linked(_across(first_pairs, _classes(links)).join(least, ["a", "b"], "left_anti"), texts, idf, threshold)))
-    more = cut(_linked(_cross_pairs(buckets, _classes(links)).join(first_pairs, ["a", "b"], "left_anti"), texts, idf, threshold))
+    more = cut(_linked(_cross_pairs(buckets, _classes(links), threshold).join(first_pairs, ["a", "b"], "left_anti"), texts, idf, threshold))
     return _classes(links.union(more)).withColumnRenamed("tid", "__tid")
 
 

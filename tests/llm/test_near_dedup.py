@@ -124,9 +124,9 @@ def test_a_large_group_of_near_copies(spark, docs):
 
 
 def test_cross_pairs_reach_across_classes_only(spark):
-    buckets = spark.createDataFrame([(1, t) for t in "abcde"] + [(2, "x"), (2, "y")], "bucket bigint, tid string")
+    buckets = spark.createDataFrame([(1, t, 1.0) for t in "abcde"] + [(1, "z", 0.79), (2, "x", 1.0), (2, "y", 1.0)], "bucket bigint, tid string, weight double")
     classes = spark.createDataFrame([("a", "a"), ("b", "a"), ("c", "a"), ("x", "x"), ("y", "x")], "tid string, class string")
-    got = {(r["a"], r["b"]) for r in N._cross_pairs(buckets, classes).collect()}
+    got = {(r["a"], r["b"]) for r in N._cross_pairs(buckets, classes, 0.8).collect()}
     assert got == {("a", "d"), ("b", "d"), ("c", "d"), ("a", "e"), ("b", "e"), ("c", "e"), ("d", "e")}
 
 
