@@ -10,11 +10,12 @@ predecessors is a constant; it is kept in 1/65536 bit, and a text's code length
 is an exact integer sum over all its bytes, free of the order of adding.  The
 language with the shortest code wins, equal lengths go to the smaller name.
 
-The sample (``sample_docs`` a language, chosen by a hash of the id) bounds the
-model; counting it is distributed and only counts reach the driver.  Scoring is
-a narrow map over whole texts.
+The sample (``sample_docs`` and SAMPLE_BYTES a language, chosen by a hash of the
+id) bounds a tree; no context of the sample is left out.  Counting it is
+distributed and only counts reach the driver.  Scoring is a narrow map over
+whole texts; a worker holds the trees of all languages, sparse.
 
-Defined results: a null text or one without a letter is ``und`` with score 0,
+Defined results: a null text or one without a letter (Unicode category L) is ``und`` with score 0,
 as is every text if nothing could be learned; documents without a label are
 never learned from; a null id counts as the empty text in the fold's checksum.
 Repeated rows get equal results, an empty table an empty result.
@@ -24,26 +25,27 @@ from __future__ import annotations
 
 import hashlib
 import io
-import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 UND = "und"
-#: Documents a language that are learned from, at most about.
-SAMPLE_DOCS = 1_000
-#: Bytes the table of code lengths may take on a worker; rarer contexts are left out beyond it.
-TABLE_BYTES = 192 << 20
+#: Symbols of the longest context.
+ORDER = 3
+#: Documents a language that are learned from, and bytes of text, at most about (but some documents of each).
+SAMPLE_DOCS, SAMPLE_BYTES, SAMPLE_LEAST = 1_000, 8 << 20, 8
 #: Parts of a bit.
 UNIT = 65536
 #: Bytes scored at once.
 BLOCK = 1 << 19
 _BASE = 257
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def held_out_fold(id_col: str = "doc_id", folds: int = 5) -> F.Column:
@@ -86,56 +88,71 @@ def count_grams(sample: DataFrame) -> DataFrame:
     return sample.select("__lang", "__text").mapInArrow(run, "__lang string, gram bigint, n bigint").groupBy("__lang", "gram").agg(F.sum("n").alias("n"))
 
 
+class Tree:
+    """Frozen code lengths of one language's context tree, in bits, kept sparse.
+
+    For each order: the contexts seen with the length of an escape (shared out
+    over what wasn't seen), and the (context, byte) pairs seen with their code
+    lengths.  A pair that wasn't seen costs its context's escape, if there is
+    such a context, and then what it costs in the next shorter one.  Memory goes
+    with the distinct pairs learned, whatever the number of languages.
+    """
+
+    def __init__(self, size: int, grams: np.ndarray, counts: np.ndarray) -> None:
+        """``grams`` are keys of ORDER + 1 symbols out of ``size``."""
+        self.size = size
+        zero = np.bincount(grams % size, counts, size)
+        q = np.count_nonzero(zero)
+        self.zero = -np.log2(np.where(zero > 0, zero, q / max(size - q, 1)) / (zero.sum() + q))
+        self.orders: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        for order in range(1, ORDER + 1):
+            pairs, at = np.unique(grams % size ** (order + 1), return_inverse=True)
+            seen = np.bincount(at, counts)
+            contexts, of = np.unique(pairs // size, return_inverse=True)
+            n, q = np.bincount(of, seen), np.bincount(of)
+            # what the shorter context leaves for the bytes not seen here; symbol 0 never follows, so some is always left
+            rest = np.maximum(1 - np.bincount(of, np.exp2(-self.bits(pairs % size**order, order - 1))), 1e-15)
+            self.orders.append((contexts, -np.log2(q / (n + q) / rest), pairs, -np.log2(seen / (n + q)[of])))
+
+    def bits(self, grams: np.ndarray, order: int | None = None) -> np.ndarray:
+        """Code lengths of the last symbols of distinct keys, in contexts of at most ``order``."""
+        order = ORDER if order is None else order
+        if not order:
+            return self.zero[grams]
+        contexts, escapes, pairs, own = self.orders[order - 1]
+        at = np.minimum(np.searchsorted(pairs, grams), len(pairs) - 1)
+        out = own[at]
+        new = np.flatnonzero(pairs[at] != grams)
+        if len(new):
+            at = np.minimum(np.searchsorted(contexts, grams[new] // self.size), len(contexts) - 1)
+            escape = np.where(contexts[at] == grams[new] // self.size, escapes[at], 0.0)
+            out[new] = escape + self.bits(grams[new] % self.size**order, order - 1)
+        return out
+
+
 class PpmModel:
-    """Frozen code lengths of every (three-byte context, byte) for all languages."""
+    """Context trees of all languages over one alphabet."""
 
-    def __init__(self, langs: list[str], grams: list[np.ndarray], counts: list[np.ndarray], table_bytes: int = TABLE_BYTES) -> None:
+    def __init__(self, langs: list[str], grams: list[np.ndarray], counts: list[np.ndarray]) -> None:
         self.langs = langs
         seen = np.unique(np.concatenate([g % _BASE for g in grams]))
         self.symbol = np.zeros(_BASE, dtype=np.int64)  # 0: start mark, and any byte never learned
         self.symbol[seen] = np.arange(1, len(seen) + 1)
-        a = self.size = len(seen) + 1
-        split = [tuple(self.symbol[(g // _BASE**k) % _BASE] for k in (3, 2, 1, 0)) for g in grams]
-        context3, weight = np.unique(np.concatenate([(x * a + y) * a + z for x, y, z, _ in split]), return_inverse=True)
-        weight = np.bincount(weight, np.concatenate(counts))
-        context2 = np.unique(np.concatenate([y * a + z for _, y, z, _ in split]))
-        most = max(1, table_bytes // (4 * a * len(langs)) - len(context2) - a)
-        if len(context3) > most:
-            context3 = np.sort(context3[np.lexsort((context3, -weight))[:most]])
-        self.table = np.empty((a + len(context2) + len(context3), a, len(langs)), dtype=np.int32)
-        for at, ((x, y, z, s), n) in enumerate(zip(split, counts)):
-            order0 = self._next(np.bincount(s, n, a)[None], np.full((1, a), 1 / _BASE))
-            order1 = self._next(np.bincount(z * a + s, n, a * a).reshape(a, a), np.repeat(order0, a, 0))
-            order2 = self._order(context2, y * a + z, s, n, order1[context2 % a])
-            order3 = self._order(context3, (x * a + y) * a + z, s, n, order2[np.searchsorted(context2, context3 % (a * a))])
-            all_orders = np.concatenate([order1, order2, order3])
-            self.table[:, :, at] = np.rint(-np.log2(all_orders) * UNIT)
-        row = np.broadcast_to(np.arange(a, dtype=np.int32), (a, a, a)).copy()
-        row[:, context2 // a, context2 % a] = a + np.arange(len(context2), dtype=np.int32)
-        row.reshape(-1)[context3] = a + len(context2) + np.arange(len(context3), dtype=np.int32)
-        self.row = row.reshape(-1)
-        self.table = self.table.reshape(-1, len(langs))
-
-    def _order(self, contexts: np.ndarray, of: np.ndarray, s: np.ndarray, n: np.ndarray, shorter: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(contexts, of)
-        there = (at < len(contexts)) & (contexts[np.minimum(at, len(contexts) - 1)] == of)
-        counts = np.bincount(at[there] * self.size + s[there], n[there], len(contexts) * self.size)
-        return self._next(counts.reshape(len(contexts), self.size), shorter)
-
-    @staticmethod
-    def _next(counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
-        """Probabilities in contexts with these counts, given those in their shorter contexts."""
-        known = counts > 0
-        n, q = counts.sum(1, keepdims=True), known.sum(1, keepdims=True)
-        rest = np.where(known, 0.0, shorter)
-        share = rest / np.maximum(rest.sum(1, keepdims=True), 1e-300)
-        inside = np.where(known, counts, q * share) / np.maximum(n + q, 1)
-        return np.maximum(np.where(q > 0, inside, shorter), 1e-12)
+        self.size = len(seen) + 1
+        self.trees = []
+        for g, n in zip(grams, counts):
+            keys = np.zeros(len(g), dtype=np.int64)
+            for k in range(ORDER, -1, -1):
+                keys = keys * self.size + self.symbol[(g // _BASE**k) % _BASE]
+            self.trees.append(Tree(self.size, keys, n))
 
     def code_lengths(self, texts: list[bytes]) -> np.ndarray:
-        """int64 code lengths in 1/UNIT bit: a row per text, a column per language."""
+        """int64 code lengths in 1/UNIT bit: a row per text, a column per language.
+
+        A block's distinct keys are looked up once in each tree.
+        """
         out = np.zeros((len(texts), len(self.langs)), dtype=np.int64)
-        symbol = self.symbol[1:].astype(np.int32)
+        symbol = self.symbol[1:]
         group: list[tuple[int, np.ndarray]] = []
         size = 0
 
@@ -143,19 +160,23 @@ class PpmModel:
             if not group:
                 return
             s = np.concatenate([part for _, part in group])
-            starts = np.cumsum([0] + [len(part) for _, part in group[:-1]])
-            context = (s[:-3] * self.size + s[1:-2]) * self.size + s[2:-1]
-            costs = self.table[self.row[context].astype(np.int64) * self.size + s[3:]]
-            # the windows that reach into the next text's three leading symbols don't count
-            for k, (at, part) in enumerate(group):
-                out[at] += costs[starts[k] : starts[k] + len(part) - 3].sum(0, dtype=np.int64)
+            lengths = np.array([len(part) for _, part in group])
+            starts = np.cumsum(lengths) - lengths
+            keys = s[ORDER:].copy()
+            for k in range(1, ORDER + 1):
+                keys += s[ORDER - k : -k] * self.size**k
+            codes, distinct = pd.factorize(keys)
+            for lang, tree in enumerate(self.trees):
+                costs = np.rint(tree.bits(distinct) * UNIT).astype(np.int64)
+                sums = np.concatenate([[0], np.cumsum(costs[codes])])
+                # the windows that reach into the next text's leading symbols don't count
+                np.add.at(out[:, lang], [at for at, _ in group], sums[starts + lengths - ORDER] - sums[starts])
             group.clear()
 
         for at, text in enumerate(texts):
-            data = symbol[np.frombuffer(text, dtype=np.uint8)]
-            data = np.concatenate([np.zeros(3, dtype=np.int32), data])
-            for begin in range(0, len(data) - 3, BLOCK):
-                part = data[begin : begin + BLOCK + 3]
+            data = np.concatenate([np.zeros(ORDER, dtype=np.int64), symbol[np.frombuffer(text, dtype=np.uint8)]])
+            for begin in range(0, len(data) - ORDER, BLOCK):
+                part = data[begin : begin + BLOCK + ORDER]
                 group.append((at, part))
                 size += len(part)
                 if size >= BLOCK:
@@ -188,13 +209,14 @@ def learn(df: DataFrame, sample_docs: int = SAMPLE_DOCS, id_col: str = "doc_id",
     """
     labelled = df.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"), F.col(lang_col).cast("string").alias("__lang"))
     labelled = labelled.filter(F.col("__lang").isNotNull() & ~held_out_fold("__id"))
-    sizes = {r["__lang"]: r["n"] for r in labelled.groupBy("__lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = {r["__lang"]: (r["n"], r["b"] or 0) for r in labelled.groupBy("__lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("__text")).alias("b")).collect()}
     buffer = io.BytesIO()
     if not sizes:
         np.savez(buffer, langs=np.array([], dtype="U1"))
         return buffer.getvalue()
     parts = 1_000_000
-    share = F.create_map(*[F.lit(v) for k, n in sorted(sizes.items()) for v in (k, min(parts, -(-sample_docs * parts // n)))])
+    wanted = {k: max(min(sample_docs, SAMPLE_BYTES * n // max(b, 1)), SAMPLE_LEAST) / n for k, (n, b) in sizes.items()}
+    share = F.create_map(*[F.lit(v) for k, x in sorted(wanted.items()) for v in (k, min(parts, -int(-x * parts // 1)))])
     sample = labelled.filter(F.pmod(F.xxhash64(F.col("__id").cast("string"), F.lit(7)), F.lit(parts)) < share[F.col("__lang")])
     counted = count_grams(sample).toPandas()
     langs = sorted(counted["__lang"].unique())

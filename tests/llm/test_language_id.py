@@ -57,6 +57,35 @@ def test_code_lengths_against_brute_force():
             assert got[i, j] == pytest.approx(rate(brute(train[lang], text), seen, text), abs=0.01 + 0.001 * len(text))
 
 
+def test_a_hundred_languages_lose_no_context():
+    rng = np.random.default_rng(4)
+    train = {f"l{k:03}": [bytes(rng.integers(32, 250, 4_000).astype(np.uint8)), bytes(rng.choice(rng.integers(32, 250, 6), 3_000).astype(np.uint8))] for k in range(100)}
+    langs, grams, counts = sorted(train), [], []
+    for lang in langs:
+        g, n = np.unique(np.concatenate([L._grams(t) for t in train[lang]]), return_counts=True)
+        grams.append(g), counts.append(n)
+    model = L.PpmModel(langs, grams, counts)
+    assert [len(tree.orders[-1][2]) for tree in model.trees] == [len(g) for g in grams]
+    seen = {b + 1 for ts in train.values() for t in ts for b in t}
+    for k in (0, 57, 99):
+        text = train[langs[k]][1][-60:] + train[langs[k]][0][:40] + b"\x01"
+        got = model.code_lengths([text])[0] / L.UNIT
+        for j in (0, 57, 99):
+            assert got[j] == pytest.approx(rate(brute(train[langs[j]], text), seen, text), abs=0.2)
+        assert got.argmin() == k
+
+
+def test_ties_go_to_the_smaller_name():
+    g, n = np.unique(L._grams(b"same text"), return_counts=True)
+    assert L._predict(["same"], L.PpmModel(["b", "c"], [g, g], [n, n]))[0] == ["b"]
+
+
+@pytest.mark.parametrize("text, letters", [("½ ²", False), ("123 !", False), ("٣", False), ("_", False), ("5a", True), ("日", True), ("ª", True)])
+def test_letters(text, letters):
+    g, n = np.unique(L._grams(b"same text"), return_counts=True)
+    assert (L._predict([text], L.PpmModel(["a"], [g], [n]))[0] != ["und"]) == letters == any(map(str.isalpha, text))
+
+
 def test_blocks_dont_change_lengths(monkeypatch):
     grams = L._grams(b"abracadabra abracadabra")
     keys, counts = np.unique(grams, return_counts=True)
