@@ -26,10 +26,19 @@ def simple_variants(files: DataFrame) -> DataFrame:
     return files.select("filename", F.inline(rows))
 
 
-def comments_of(files: DataFrame) -> DataFrame:
-    """One row per comment: filename, n, start, end, kind, text, context and sha1."""
-    each = files.select("filename", F.posexplode(machines.policy_spans_of(F.col("content"))).alias("n", "s"))
-    return each.select("filename", "n", "s.*").withColumn("sha1", text_sha1(F.col("text")))
+def _content_key() -> Column:
+    return F.sha2(F.col("content").cast("binary"), 256)
+
+
+def _marks(comments: DataFrame, column: str) -> DataFrame:
+    """(__key, __kept): the decisions of each content in order; files of equal content have equal ones, whatever their names."""
+    return comments.groupBy("__key").agg(F.transform(F.array_sort(F.collect_set(F.struct("n", column))), lambda x: x[column]).alias("__kept"))
+
+
+def comments_of(files: DataFrame, *keys: str) -> DataFrame:
+    """One row per comment: filename, ``keys``, n, start, end, kind, text, context and sha1."""
+    each = files.filter("content IS NOT NULL").select("filename", *keys, F.posexplode(machines.policy_spans_of(F.col("content"))).alias("n", "s"))
+    return each.select("filename", *keys, "n", "s.*").withColumn("sha1", text_sha1(F.col("text")))
 
 
 def decided(comments: DataFrame, cache: DataFrame | None = None, decide: Decide = keep_comment) -> DataFrame:
@@ -42,23 +51,24 @@ def decided(comments: DataFrame, cache: DataFrame | None = None, decide: Decide
 
 def strip_by_decision(files: DataFrame, cache: DataFrame | None = None, decide: Decide = keep_comment) -> tuple[DataFrame, DataFrame]:
     """(comments with their decision, files without the dropped ones)."""
-    comments = decided(comments_of(files), cache, decide)
-    marks = comments.groupBy("filename").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "keep"))), lambda x: x["keep"]).alias("__kept"))
+    files = files.withColumn("__key", _content_key())
+    comments = decided(comments_of(files, "__key"), cache, decide)
+    marks = _marks(comments, "keep")
 
     @F.udf("string", useArrow=True)
     def rebuild(text, kept):
-        spans = machines.policy_spans(text)
-        return machines.drop_spans(text, spans, list(kept)) if kept is not None else text
+        return text if kept is None else machines.drop_spans(text, machines.policy_spans(text), list(kept))
 
-    out = files.join(marks, "filename", "left").withColumn("content", rebuild(F.col("content"), F.col("__kept"))).drop("__kept")
-    return comments, out
+    out = files.join(marks, "__key", "left").withColumn("content", rebuild(F.col("content"), F.col("__kept"))).drop("__kept", "__key")
+    return comments.drop("__key"), out
 
 
 def hybrid_policy(files: DataFrame, decide: Decide = keep_comment) -> tuple[DataFrame, DataFrame]:
     """(files whose dropped comments are blanked, comment index rows)."""
-    spans = files.select("filename", F.posexplode(machines.spans_of(F.col("content"))).alias("n", "s")).select("filename", "n", "s.*").withColumn("kept", decide(F.col("text")))
+    files = files.withColumn("__key", _content_key())
+    spans = files.filter("content IS NOT NULL").select("filename", "__key", F.posexplode(machines.spans_of(F.col("content"))).alias("n", "s")).select("filename", "__key", "n", "s.*").withColumn("kept", decide(F.col("text")))
     index = spans.select("filename", F.col("start").alias("span_start"), F.col("end").alias("span_end"), "kind", text_sha1(F.col("text")).alias("comment_sha1"), "kept", F.length("text").alias("length"))
-    marks = spans.groupBy("filename").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "kept"))), lambda x: x["kept"]).alias("__kept"))
+    marks = _marks(spans, "kept")
 
     @F.udf("string", useArrow=True)
     def rebuild(text, kept):
@@ -67,7 +77,7 @@ def hybrid_policy(files: DataFrame, decide: Decide = keep_comment) -> tuple[Data
         order = iter(list(kept))
         return machines.blank_comments(text, lambda s: bool(next(order)))[0]
 
-    return files.join(marks, "filename", "left").withColumn("content", rebuild(F.col("content"), F.col("__kept"))).drop("__kept"), index
+    return files.join(marks, "__key", "left").withColumn("content", rebuild(F.col("content"), F.col("__kept"))).drop("__kept", "__key"), index
 
 
 def build_variants(files: DataFrame, variants: Sequence[str] = VARIANTS, context_tokens: int = 4096, reserve_tokens: int = 512, overlap_tokens: int = 64, chars_per_token: float = 4.0, decide: Decide = keep_comment) -> DataFrame:

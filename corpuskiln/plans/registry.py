@@ -37,18 +37,6 @@ class Registry:
         return register
 
 
-#: Tables of long texts.
-TEXTS = ("documents", "pages")
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the test data.
-
-    A table of texts that is a single small split is spread over the cores; one
-    with as many splits as cores is read as it is.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in TEXTS and df.rdd.getNumPartitions() < min(cores, 8):
-        return df.repartition(cores)
-    return df
+    """A table of the test data, in the splits it is stored in."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")

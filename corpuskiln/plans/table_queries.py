@@ -19,12 +19,14 @@ t AS (SELECT doc_id, regexp_extract_all(regexp_replace(text, '{_CMT}', '', 'g'),
 s AS (SELECT doc_id, len(k) AS n, list_distinct(list_transform(range(1, greatest(len(k) - 3, 1)), lambda i: array_to_string(k[i:i + 4], ' '))) AS g FROM t),
 e AS (SELECT lpad(doc_id::VARCHAR, 12, '0') AS f, unnest(g) AS h FROM s),
 c AS (SELECT lpad(doc_id::VARCHAR, 12, '0') AS f, n, len(g) AS m FROM s),
+z AS (SELECT lpad(d.doc_id::VARCHAR, 12, '0') AS f, lpad(one.doc_id::VARCHAR, 12, '0') AS first, count(*) OVER (PARTITION BY one.doc_id) AS copies FROM documents d JOIN one ON d.text = one.text),
 p AS (SELECT x.f AS a, y.f AS b, count(*) AS i FROM e x JOIN e y ON x.h = y.h AND x.f < y.f GROUP BY 1, 2),
 j AS (SELECT a, b, ca.m AS a_shingles, cb.m AS b_shingles, i AS intersect_shingles, ca.m + cb.m - i AS union_shingles, i / (ca.m + cb.m - i) AS jaccard FROM p JOIN c ca ON a = ca.f JOIN c cb ON b = cb.f WHERE i / (ca.m + cb.m - i) >= 0.7)
 """
 _CLUSTERS = _SHINGLES.replace("WITH one", "WITH RECURSIVE one") + """, u AS (SELECT a AS x, b AS y FROM j UNION SELECT b, a FROM j),
 r AS (SELECT x, x AS y FROM u UNION SELECT r.x, u.y FROM r JOIN u ON r.y = u.x),
-l AS (SELECT f, n, m, coalesce((SELECT min(y) FROM r WHERE r.x = c.f), f) AS cluster FROM c)
+y AS (SELECT x, min(y) AS y FROM r GROUP BY x),
+l AS (SELECT z.f, n, m, coalesce(y.y, z.first) AS cluster FROM z JOIN c ON c.f = z.first LEFT JOIN y ON y.x = z.first)
 """
 
 
@@ -32,15 +34,44 @@ def _docs(spark, sf):
     return table(spark, sf, "documents")
 
 
+def _name(doc_id):
+    return F.lpad(F.col(doc_id).cast("string"), 12, "0")
+
+
+def _members(spark, sf):
+    """(filename, first, copies): every document, the first one of its text, and how many have that text."""
+    keyed_docs = _docs(spark, sf).filter("text <> ''").select("doc_id", F.sha2("text", 256).alias("h"))
+    first = keyed_docs.groupBy("h").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"))
+    return keyed_docs.join(first, "h").select(_name("doc_id").alias("filename"), _name("first").alias("first"), "copies")
+
+
 def _distinct_files(spark, sf):
     """The first document of each text, named by its padded id."""
-    first = _docs(spark, sf).groupBy("text").agg(F.min("doc_id").alias("doc_id"))
-    return first.select(F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("filename"), F.col("text").alias("content"), F.col("doc_id").alias("row_ord"))
+    first = _docs(spark, sf).filter("text <> ''").groupBy(F.sha2("text", 256)).agg(F.min("doc_id").alias("first")).select("first")
+    docs = _docs(spark, sf)
+    return docs.join(first, docs["doc_id"] == first["first"], "left_semi").select(_name("doc_id").alias("filename"), F.col("text").alias("content"), F.col("doc_id").alias("row_ord"))
 
 
-@R.add("shingle_counts", _SHINGLES + "SELECT f AS filename, n AS num_tokens, m AS num_shingles FROM c")
+def _for_members(spark, sf, of_first):
+    """What is known of the first document of each text, for every document."""
+    return _members(spark, sf).join(of_first.withColumnRenamed("filename", "first"), "first")
+
+
+def _clustered(spark, sf):
+    """Counts and cluster of every document; copies are in the cluster of their first."""
+    sets = cut(near_duplicates.shingled(_distinct_files(spark, sf)))
+    return _for_members(spark, sf, near_duplicates.cluster_files(sets.drop("shingles"), near_duplicates.exact_pairs(sets)))
+
+
+@R.add("shingle_counts", _SHINGLES + "SELECT z.f AS filename, n AS num_tokens, m AS num_shingles FROM z JOIN c ON c.f = z.first")
 def shingle_counts(spark, sf):
-    return near_duplicates.shingled(_distinct_files(spark, sf)).select("filename", "num_tokens", "num_shingles")
+    counts = near_duplicates.shingled(_distinct_files(spark, sf)).select("filename", "num_tokens", "num_shingles")
+    return _for_members(spark, sf, counts).select("filename", "num_tokens", "num_shingles")
+
+
+@R.add("text_copies", _SHINGLES + "SELECT f AS filename, first, copies FROM z")
+def text_copies(spark, sf):
+    return _members(spark, sf)
 
 
 @R.add("neardup_pairs", _SHINGLES + "SELECT a, b, a_shingles, b_shingles, intersect_shingles, union_shingles, jaccard FROM j")
@@ -60,30 +91,24 @@ def pair_histogram(spark, sf):
 
 @R.add("clusters", _CLUSTERS + "SELECT f AS filename, cluster FROM l")
 def clusters(spark, sf):
-    sets = cut(near_duplicates.shingled(_distinct_files(spark, sf)))
-    return near_duplicates.cluster_files(sets.drop("shingles"), near_duplicates.exact_pairs(sets)).select("filename", "cluster")
+    return _clustered(spark, sf).select("filename", "cluster")
 
 
-@R.add("singletons", _SHINGLES + "SELECT f AS filename FROM c WHERE f NOT IN (SELECT a FROM j UNION SELECT b FROM j)")
+@R.add("singletons", _SHINGLES + "SELECT f AS filename FROM z WHERE copies = 1 AND f NOT IN (SELECT a FROM j UNION SELECT b FROM j)")
 def singletons(spark, sf):
     sets, _, named = near_duplicates.similarity_run(_distinct_files(spark, sf))
-    return sets.join(named, "filename", "left_anti").select("filename")
+    return _for_members(spark, sf, sets.join(named, "filename", "left_anti")).filter("copies = 1").select("filename")
 
 
 @R.add("representatives", _CLUSTERS + "SELECT f AS filename, cluster, count(*) OVER (PARTITION BY cluster) AS size, row_number() OVER (PARTITION BY cluster ORDER BY n DESC, m DESC, length(f), f) = 1 AS kept FROM l")
 def representatives(spark, sf):
-    sets = cut(near_duplicates.shingled(_distinct_files(spark, sf)))
-    clustered = near_duplicates.cluster_files(sets.drop("shingles"), near_duplicates.exact_pairs(sets))
-    return near_duplicates.representatives(clustered).select("filename", "cluster", "size", "kept")
+    return near_duplicates.representatives(_clustered(spark, sf)).select("filename", "cluster", "size", "kept")
 
 
-@R.add(
-    "components",
-    """WITH RECURSIVE e AS (SELECT DISTINCT 'p' || l_partkey AS x, 's' || l_suppkey AS y FROM lineitem WHERE l_quantity >= 50 AND l_discount = 0.1), u AS (SELECT x, y FROM e UNION SELECT y, x FROM e),
-    r AS (SELECT x, x AS y FROM u UNION SELECT r.x, u.y FROM r JOIN u ON r.y = u.x) SELECT x AS node, min(y) AS component FROM r GROUP BY x""",
-)
+# recursion in SQL lists every pair of connected nodes, which is too much for one component over the whole table
+@R.add("components")
 def graph_components(spark, sf):
-    rows = table(spark, sf, "lineitem").filter("l_quantity >= 50 AND l_discount = 0.1")
+    rows = table(spark, sf, "lineitem")
     edges = rows.select(F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("x"), F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("y")).distinct()
     return components.connected_components(edges, "x", "y")
 
@@ -91,12 +116,12 @@ def graph_components(spark, sf):
 @R.add(
     "reachability",
     """WITH RECURSIVE e AS (SELECT DISTINCT doc_id AS src, doc_id // 2 AS dst FROM documents UNION SELECT doc_id, doc_id // 3 FROM documents),
-    r AS (SELECT doc_id AS root, doc_id AS node FROM documents WHERE doc_id % 50 = 0 UNION SELECT r.root, e.dst FROM r JOIN e ON r.node = e.src) SELECT root, node FROM r""",
+    r AS (SELECT doc_id AS root, doc_id AS node FROM documents UNION SELECT r.root, e.dst FROM r JOIN e ON r.node = e.src) SELECT root, node FROM r""",
 )
 def reachability(spark, sf):
     d = _docs(spark, sf)
     edges = d.select(F.col("doc_id").alias("src"), F.expr("doc_id div 2").alias("dst")).union(d.selectExpr("doc_id", "doc_id div 3")).distinct()
-    return code_graph.reachable(edges, d.filter("doc_id % 50 = 0").select(F.col("doc_id").alias("node")))
+    return code_graph.reachable(edges, d.select(F.col("doc_id").alias("node")))
 
 
 @R.add("difficulty_bucket", "SELECT doc_id, least(5, greatest(1, ceil((rn - 1) * 5 / greatest(n - 1, 1))))::INT::VARCHAR AS bucket FROM (SELECT doc_id, row_number() OVER (ORDER BY n_chars, doc_id) AS rn, count(*) OVER () AS n FROM documents)")
@@ -206,13 +231,14 @@ def seeded_sample(spark, sf):
     return splits.seeded_sample(_docs(spark, sf).select("doc_id"), "doc_id", 100)
 
 
-_OLD = "SELECT event_id % 400 AS k, event_type AS s, max(event_id) AS v FROM events WHERE event_id % 3 = 0 GROUP BY 1, 2"
-_NEW = "SELECT event_id % 400 AS k, event_type AS s, max(event_id) AS v FROM events WHERE event_id % 3 = 1 GROUP BY 1, 2"
+_OLD = "SELECT user_id AS k, event_type AS s, max(event_id) AS v FROM events WHERE event_id % 2 = 0 GROUP BY 1, 2"
+_NEW = "SELECT user_id AS k, event_type AS s, max(event_id) AS v FROM events WHERE event_id % 2 <> 0 GROUP BY 1, 2"
 
 
 def _sides(spark, sf):
-    e = table(spark, sf, "events").select((F.col("event_id") % 400).alias("k"), F.col("event_type").alias("s"), F.col("event_id"))
-    return [e.filter(F.col("event_id") % 3 == r).groupBy("k", "s").agg(F.max("event_id").alias("v")) for r in (0, 1)]
+    """Stored and incoming events by user and type; every event is on one of the sides."""
+    e = table(spark, sf, "events").select(F.col("user_id").alias("k"), F.col("event_type").alias("s"), F.col("event_id"))
+    return [e.filter(side).groupBy("k", "s").agg(F.max("event_id").alias("v")) for side in ("event_id % 2 = 0", "event_id % 2 <> 0")]
 
 
 @R.add("append_dedup", f"WITH o AS ({_OLD}), n AS ({_NEW}) SELECT * FROM o UNION ALL SELECT * FROM n ANTI JOIN o ON n.k = o.k AND n.s = o.s")
@@ -303,10 +329,10 @@ def rag_query(spark, sf):
     return _docs(spark, sf).select("doc_id", messages.retrieval_query(F.col("source"), F.lit("cryptol"), code).alias("query"))
 
 
-@R.add("messages", "SELECT doc_id, 'Be brief.' AS system, trim(source) || CASE WHEN doc_id % 2 = 0 THEN chr(10) || chr(10) || chr(10) || 'Input:' || chr(10) || lang ELSE '' END AS user, trim(substr(replace(text, chr(10), ' '), 1, 200)) AS assistant FROM documents")
+@R.add("messages", "SELECT doc_id, 'Be brief.' AS system, trim(source) || CASE WHEN doc_id % 2 = 0 THEN chr(10) || chr(10) || chr(10) || 'Input:' || chr(10) || lang ELSE '' END AS user, trim(replace(text, chr(10), ' ')) AS assistant FROM documents")
 def chat_messages(spark, sf):
     d = _docs(spark, sf).withColumn("given", F.when(F.col("doc_id") % 2 == 0, F.col("lang")).otherwise("  "))
-    m = d.select("doc_id", messages.messages(F.col("source"), F.substring(F.replace("text", F.lit("\n"), F.lit(" ")), 1, 200), "Be brief.", F.col("given")).alias("m"))
+    m = d.select("doc_id", messages.messages(F.col("source"), F.replace("text", F.lit("\n"), F.lit(" ")), "Be brief.", F.col("given")).alias("m"))
     return m.select("doc_id", *[F.expr(f"m[{i}].content").alias(n) for i, n in enumerate(("system", "user", "assistant"))])
 
 
@@ -377,9 +403,9 @@ def eval_tests(spark, sf):
     return out.select("task_id", F.col("n_tests").cast("int").alias("n_tests"), F.col("n_passed").cast("int").alias("n_passed"), "passed")
 
 
-def _definition_json(spark, sf, orders="true"):
+def _definition_json(spark, sf):
     """One definition file per order: a declaration per line with a branch for every quantity above 25, and references to earlier lines."""
-    l = table(spark, sf, "lineitem").filter(orders)
+    l = table(spark, sf, "lineitem")
     node = lambda i: F.struct(F.lit(i).alias("id"), F.lit("n").alias("kind"), F.lit("").alias("label"))
     edge = lambda a, b, k="control": F.struct(F.lit(a).alias("from"), F.lit(b).alias("to"), F.lit(k).alias("kind"))
     branch = F.struct(F.lit(0).alias("entry"), F.lit(3).alias("exit"), F.array(*map(node, range(5))).alias("nodes"), F.array(edge(0, 1, "branch"), edge(0, 2, "branch"), edge(1, 3), edge(2, 3), edge(0, 4, "decl")).alias("edges"))
@@ -392,30 +418,28 @@ def _definition_json(spark, sf, orders="true"):
     return files.select(F.col("l_orderkey").cast("string").alias("json_path"), body.alias("json"))
 
 
-#: The orders that the SQL of the queries below takes.
-_SQL_ORDERS = "l_orderkey % 5 = 0"
-_DEF = "WITH d AS (SELECT l_orderkey::VARCHAR AS json_path, 'f' || l_linenumber AS name, l_linenumber, CASE WHEN l_quantity > 25 THEN 2 ELSE 1 END AS mcc FROM lineitem WHERE l_orderkey % 5 = 0)"
+_DEF = "WITH d AS (SELECT l_orderkey::VARCHAR AS json_path, 'f' || l_linenumber AS name, l_linenumber, CASE WHEN l_quantity > 25 THEN 2 ELSE 1 END AS mcc FROM lineitem)"
 
 
 @R.add("mcc", _DEF + " SELECT json_path, name AS definition_name, mcc, CASE mcc WHEN 2 THEN 4 ELSE 1 END AS edges_e, CASE mcc WHEN 2 THEN 4 ELSE 2 END AS nodes_n FROM d")
 def mcc(spark, sf):
-    stats = code_graph.definition_stats(code_graph.definitions(_definition_json(spark, sf, _SQL_ORDERS)))
+    stats = code_graph.definition_stats(code_graph.definitions(_definition_json(spark, sf)))
     return stats.select("json_path", "definition_name", "mcc", F.col("edges_E").alias("edges_e"), F.col("nodes_N").alias("nodes_n"))
 
 
-@R.add("mcc_summary", "WITH d AS (SELECT l_orderkey::VARCHAR AS json_path, CASE WHEN l_quantity > 25 THEN 2 ELSE 1 END AS m FROM lineitem WHERE l_orderkey % 5 = 0) SELECT json_path, 1 AS imports_count, count(*) AS num_declarations, sum(m)::BIGINT AS total_mcc, max(m) AS max_mcc, avg(m) AS avg_mcc FROM d GROUP BY 1")
+@R.add("mcc_summary", "WITH d AS (SELECT l_orderkey::VARCHAR AS json_path, CASE WHEN l_quantity > 25 THEN 2 ELSE 1 END AS m FROM lineitem) SELECT json_path, 1 AS imports_count, count(*) AS num_declarations, sum(m)::BIGINT AS total_mcc, max(m) AS max_mcc, avg(m) AS avg_mcc FROM d GROUP BY 1")
 def mcc_summary(spark, sf):
-    return code_graph.file_summary(_definition_json(spark, sf, _SQL_ORDERS)).select("json_path", "imports_count", "num_declarations", "total_mcc", "max_mcc", "avg_mcc")
+    return code_graph.file_summary(_definition_json(spark, sf)).select("json_path", "imports_count", "num_declarations", "total_mcc", "max_mcc", "avg_mcc")
 
 
 @R.add("hardest_def", _DEF + ", s AS (SELECT json_path, name, sum(mcc)::BIGINT AS total FROM d GROUP BY 1, 2) SELECT json_path, name AS def_name, total FROM s QUALIFY row_number() OVER (PARTITION BY json_path ORDER BY total DESC, name) = 1")
 def hardest_def(spark, sf):
-    return code_graph.hardest_definitions(code_graph.definitions(_definition_json(spark, sf, _SQL_ORDERS))).select("json_path", "def_name", "total")
+    return code_graph.hardest_definitions(code_graph.definitions(_definition_json(spark, sf))).select("json_path", "def_name", "total")
 
 
-@R.add("reference_edges", "SELECT DISTINCT l_orderkey::VARCHAR AS json_path, 'f' || l_linenumber AS src, 'f' || (l_linenumber - 1) AS dst FROM lineitem WHERE l_orderkey % 5 = 0")
+@R.add("reference_edges", "SELECT DISTINCT l_orderkey::VARCHAR AS json_path, 'f' || l_linenumber AS src, 'f' || (l_linenumber - 1) AS dst FROM lineitem")
 def reference_edges(spark, sf):
-    return code_graph.reference_edges(code_graph.definitions(_definition_json(spark, sf, _SQL_ORDERS)))
+    return code_graph.reference_edges(code_graph.definitions(_definition_json(spark, sf)))
 
 
 @R.add("dependency_trees")

@@ -192,10 +192,13 @@ def strip_prefix(spark, sf):
     return _docs(spark, sf).select("doc_id", X.relative_path(p, "/r").alias("path"))
 
 
-@R.add("line_comment_strip", "SELECT doc_id, sha256('a = \"x//y\" ' || chr(10) || substr(t, 1, 50) || chr(10)) AS stripped FROM (SELECT doc_id, replace(replace(replace(text, '/', ''), '\"', ''), '''', '') AS t FROM documents)")
+@R.add(
+    "line_comment_strip",
+    r"""SELECT doc_id, sha256(regexp_replace('a = "x//y" // ' || lang || chr(10) || text || ' // ' || source || chr(10),
+    '(?s)("[^"\\]*(?:\\.[^"\\]*)*(?:"|\\?\z)|''[^''\\]*(?:\\.[^''\\]*)*(?:''|\\?\z))|//[^\n]*', '\1', 'g')) AS stripped FROM documents""",
+)
 def line_comment_strip(spark, sf):
-    t = F.regexp_replace("text", "[/\"']", "")
-    code = F.concat(F.lit('a = "x//y" // '), F.regexp_replace(t, "\n", " "), F.lit("\n"), F.substring(t, 1, 50), F.lit("\n"))
+    code = F.concat(F.lit('a = "x//y" // '), "lang", F.lit("\n"), "text", F.lit(" // "), "source", F.lit("\n"))
     return _docs(spark, sf).select("doc_id", M.text_sha256(X.strip_line_comments(code)).alias("stripped"))
 
 

@@ -34,13 +34,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The folder for checkpoints.
 
     ``spark.checkpoint.dir`` names the folder that all executors share.  Only
-    where it is unset (local tests) a temporary folder is made.
+    where it is unset in a local session (tests) a temporary folder is made; on
+    a cluster a folder of one machine would lose data, so that is an error.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not configured and not sc.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="corpuskiln-checkpoint-"))
     return sc.getCheckpointDir()
 

@@ -143,6 +143,39 @@ def test_variants_and_decisions(spark):
     assert index.count() == 3 and "License" not in text.collect()[0]["content"]
 
 
+def test_decisions_of_files_with_one_name(spark):
+    short, long = "f = 1 // short\n", f"g = 2 // {'neutral ' * 80}\n"
+    rows = [("a.cry", short), ("a.cry", long), (None, short), (None, long), ("b.cry", short), ("c.cry", None)]
+    df = spark.createDataFrame(rows, "filename string, content string").repartition(3)
+    for out in (comments.strip_by_decision(df)[1], comments.hybrid_policy(df)[0]):
+        got = [(r["filename"], r["content"]) for r in out.select("filename", "content").collect()]
+        alone = {c: None if c is None else next(r["content"] for r in comments.strip_by_decision(df.filter(df.content == c))[1].collect()) for c in (short,)}
+        assert sum(c == short for _, c in got) == 3 and alone[short] == short
+        assert sum(c is not None and "neutral" not in c and "g = 2" in c for _, c in got) == 2 and ("c.cry", None) in got
+
+
+def test_part_supplier_components_against_union_find(spark, tmp_path):
+    import random
+
+    from corpuskiln.plans.catalog import REGISTRY
+
+    rng = random.Random(2)
+    rows = [(rng.randint(1, 60), rng.randint(1, 40)) for _ in range(45)]
+    spark.createDataFrame(rows, "l_partkey bigint, l_suppkey bigint").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = {r["node"]: r["component"] for r in REGISTRY.queries["components"](spark, str(tmp_path)).collect()}
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for p, q in rows:
+        a, b = sorted((find(f"p{p}"), find(f"s{q}")))
+        parent[b] = a
+    assert got == {x: find(x) for x in parent}
+
+
 def test_limits_and_templates(spark):
     df = spark.createDataFrame([(2, 1.0), (3, 2.0), (10, 12.5)], "d int, m double")
     got = [tuple(r["x"]) for r in df.select(messages.simple_limits(F.col("d"), F.col("m")).alias("x")).collect()]
