@@ -5,6 +5,14 @@ passages, near-dedup keeps one document of each group of copies, packing lays
 what is left into training sequences.  Each stage is written as Parquet and
 reread as the next one's documents; every stage but the last returns the
 columns of ``documents``.
+
+Defined results: a null text, one without a letter and one that no learned
+language codes well are rejected, and all are if no row has a language; rows
+without a language are otherwise treated as any.  Null ids, repeated rows and
+extra columns pass through the first three stages as each of them states; of
+repeated rows one stays.  An empty table gives no pieces.  The stages' results
+are written to a folder of their own beside the checkpoints and stay there for
+whoever reads the result.
 """
 
 from __future__ import annotations
