@@ -35,6 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpuskiln.llm.memory import release
+
 UND = "und"
 #: Symbols of the longest context.
 ORDER = 3
@@ -286,5 +288,6 @@ def keep_identified(df: DataFrame, sample_docs: int = SAMPLE_DOCS, id_col: str =
                 part = batch.slice(begin, 256)
                 langs, _, rates = _predict(part.column(at).to_pylist(), ready)
                 yield part.filter(pa.array([lang != UND and rate < 8 for lang, rate in zip(langs, rates)], pa.bool_()))
+        release()
 
     return df.mapInArrow(run, df.schema)

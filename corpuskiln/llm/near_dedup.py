@@ -46,6 +46,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpuskiln.llm.memory import release
 from corpuskiln.operators.components import connected_components
 from corpuskiln.session import cut
 
@@ -162,6 +163,17 @@ def _groups(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
         yield begin, texts[begin:]
 
 
+#: Texts whose lowered bytes are held at once.
+TEXTS_AT_ONCE = 512
+
+
+def _lowered_groups(column: pa.Array) -> Iterator[list[bytes]]:
+    """All texts of a column, lowered, in groups of about BLOCK_BYTES."""
+    for begin in range(0, len(column), TEXTS_AT_ONCE):
+        for _, group in _groups(_lowered(column[begin : begin + TEXTS_AT_ONCE])):
+            yield group
+
+
 def _lowered(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in pc.utf8_lower(column).cast(pa.binary()).to_pylist()]
 
@@ -198,13 +210,14 @@ def feature_counts(texts: DataFrame) -> tuple[int, np.ndarray]:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, docs = np.zeros(1 << DF_BITS, dtype=np.int64), 0
         for batch in batches:
-            for _, group in _groups(_lowered(batch.column(0))):
+            for group in _lowered_groups(batch.column(0)):
                 total += np.bincount(_feature(occurrences(group)[1]), minlength=1 << DF_BITS)
             docs += batch.num_rows
         if docs:
             parts = [np.array([docs]), *total.reshape(-1, DF_PART)]
             group = TaskContext.get().partitionId() % DF_GROUPS
             yield _parts([(k - 1, group, x.astype("<i8")) for k, x in enumerate(parts) if x.any()])
+        release()
 
     def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple[int, int], np.ndarray] = {}
@@ -249,7 +262,7 @@ def inverse_frequencies(texts: DataFrame) -> Idf:
             return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n.astype(np.int64))], ["value", "n"])
 
         for batch in batches:
-            for _, group in _groups(_lowered(batch.column(0))):
+            for group in _lowered_groups(batch.column(0)):
                 owner, value = occurrences(group)
                 at = np.flatnonzero(chosen[_feature(value)])
                 owner, value = owner[at], value[at]
@@ -332,7 +345,7 @@ def signatures(texts: DataFrame, idf: Broadcast) -> DataFrame:
             coded = batch.column(own).dictionary_encode()
             codes = coded.indices.to_numpy()
             _, first = np.unique(codes, return_index=True)
-            for _, group in _groups(_lowered(batch.column(at).take(pa.array(first)))):
+            for group in _lowered_groups(batch.column(at).take(pa.array(first))):
                 owner, value, count = shingles(group)
                 weight = count * idf.value.of(value)
                 weights += np.bincount(owner, weight, len(group)).tolist()
@@ -347,6 +360,7 @@ def signatures(texts: DataFrame, idf: Broadcast) -> DataFrame:
                     bands.append(h.view(np.int64).tolist())
             arrays = [batch.column(batch.schema.get_field_index(c)) for c in keep] + [pa.array(bands, pa.list_(pa.int64())).take(coded.indices), pa.array(weights, pa.float64()).take(coded.indices)]
             yield pa.RecordBatch.from_arrays(arrays, [*keep, "bands", "weight"])
+        release()
 
     kept = ", ".join(f"{c} {texts.schema[c].dataType.simpleString()}" for c in keep)
     return texts.mapInArrow(run, f"{kept}, bands array<bigint>, weight double")
@@ -375,10 +389,13 @@ def verify(pairs: DataFrame, texts: DataFrame, idf: Broadcast) -> DataFrame:
             return known[key]
 
         for batch in batches:
-            left, right = _lowered(batch.column(2)), _lowered(batch.column(3))
-            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            like = [weighted_jaccard(features(x, s), features(y, t)) for x, y, s, t in zip(a, b, left, right)]
+            like: list[float] = []
+            for begin in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part = batch.slice(begin, TEXTS_AT_ONCE)
+                pairs_of = zip(part.column(0).to_pylist(), part.column(1).to_pylist(), _lowered(part.column(2)), _lowered(part.column(3)))
+                like += [weighted_jaccard(features(x, s), features(y, t)) for x, y, s, t in pairs_of]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(like, pa.float64())], ["a", "b", "similarity"])
+        release()
 
     both = _with_first_text(pairs, texts).join(texts.select(F.col("__tid").alias("b"), F.col("__text").alias("__t")), "b").select("a", "b", "__s", "__t")
     return both.mapInArrow(run, "a string, b string, similarity double")

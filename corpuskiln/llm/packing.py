@@ -42,10 +42,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpuskiln.llm.memory import release
+
 #: Words that a worker keeps with their ids; beyond it they are forgotten before new ones are learned.
 KNOWN_WORDS = 800_000
 #: Bytes of texts that are encoded together.
-GROUP_BYTES = 12 << 20
+GROUP_BYTES = 4 << 20
 #: Words in a call of the tokenizer.
 WORDS_A_CALL = 256
 
@@ -252,8 +254,9 @@ class WordIds:
             starts, lengths = self.starts[places], self.starts[places + 1] - self.starts[places]
             ends = np.cumsum(lengths)
             # a word's ids lie in a row from its start: the shift from places in the output is constant over a word
-            place = np.repeat(starts - (ends - lengths), lengths)
-            place += np.arange(len(place))
+            kind = np.int32 if max(len(self.ids), ends[-1] if len(ends) else 0) < 1 << 31 else np.int64
+            place = np.repeat((starts - (ends - lengths)).astype(kind), lengths)
+            place += np.arange(len(place), dtype=kind)
             out = self.ids[place]
             bounds = np.concatenate([[0], ends])[split.offsets.to_numpy() - split.offsets[0].as_py()]
         if end is not None:
@@ -322,6 +325,7 @@ def pack_texts(
         first = next(pieces, None)
         if first is not None:
             yield from _pieces_to_batches((p for group in ([first], pieces) for p in group), types[0], keep_ids)
+        release()
 
     return source.mapInArrow(run, _schema(source, keep_ids)).withColumnRenamed("__id", id_col)
 

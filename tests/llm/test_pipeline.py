@@ -1,9 +1,10 @@
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from corpuskiln.llm import language_id, line_dedup, near_dedup, registry
+from corpuskiln.llm import language_id, line_dedup, near_dedup, packing, registry
 
 from . import test_line_dedup, test_near_dedup
 
@@ -44,6 +45,14 @@ def test_every_query_is_registered():
     assert set(registry.oracle_sql()) <= set(names)
 
 
-@pytest.mark.parametrize("module", [language_id, line_dedup, near_dedup])
+def test_an_empty_table_and_unlabelled_rows(spark, docs, tmp_path):
+    for name, rows in (("empty", []), ("unlabelled", [(1, "the words of a text"), (2, None)])):
+        df = docs(rows).withColumn("lang", F.lit(None).cast("string")).withColumn("__nd_id", F.lit(1)).withColumn("__ld_key", F.lit("x"))
+        df.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        out = corpus_pipeline.run(spark, f"{tmp_path}/{name}")
+        assert out.count() == 0 and {"doc_id", "start", "length", "sequence_id"} <= set(out.columns)
+
+
+@pytest.mark.parametrize("module", [corpus_pipeline, language_id, line_dedup, near_dedup, packing])
 def test_modules_state_their_edge_cases(module):
     assert "Defined results" in module.__doc__
