@@ -25,6 +25,14 @@ different texts that share a bucket are in one class or were compared, yet the
 pairs within a class are never listed.  A pair whose total weights are too far
 apart to reach the threshold is left out before its texts are fetched.
 
+Pairs are listed only in buckets with LISTED texts outside the largest class at
+most, so their number is in proportion to the texts.  Other buckets (texts that
+share a passage, or large groups of copies of copies) are taken to tasks as
+blocks of whole texts, which join the same classes without the pairs.  Features
+are ordered from rare to common in the block; the first one that two texts share
+bounds the weight that they share, so only texts with a common feature early
+enough in both are compared, and none that is of the text's class by then.
+
 Words are runs of ASCII letters, digits, underscores and any other code points
 above 127 of the lowered text; a text of fewer than five words is one shingle
 of all its words.
@@ -66,6 +74,10 @@ SHINGLES_AT_ONCE = 1 << 14
 SALTS = 8
 #: Pairs of one text that one task compares; texts with more of them, if they aren't too many, are sent to all tasks that compare them.
 PAIRS_A_TASK, SENT_TEXTS = 4096, 100_000
+#: Texts outside a bucket's largest class up to which its pairs are listed, and total weight of a block of texts in a bucket of more.
+LISTED, BLOCK_WEIGHT = 8, 1_000_000
+#: Texts that one text is compared with before those of its class are left out again; then twice as many, and so on.
+COMPARED_AT_ONCE = 32
 
 _M1, _M2, _M3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 _WORD_BYTE = np.array([chr(b).isalnum() or b == 95 if b < 128 else True for b in range(256)], dtype=bool)
@@ -447,6 +459,112 @@ def _cross_pairs(buckets: DataFrame, classes: DataFrame, threshold: float) -> Da
     return met.select(F.least("tid", "x").alias("a"), F.greatest("tid", "x").alias("b")).distinct()
 
 
+def _crowded(buckets: DataFrame, classes: DataFrame) -> DataFrame:
+    """Buckets with more than LISTED texts outside the largest class: that class, and blocks that all texts and the outside ones fill."""
+    members = buckets.join(classes, "tid", "left").withColumn("class", F.coalesce("class", "tid"))
+    sizes = members.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("w"))
+    of = sizes.groupBy("bucket").agg(F.max(F.struct("n", "class", "w")).alias("top"), F.sum("n").alias("n"), F.sum("w").alias("w"))
+    blocks = [F.floor(w / BLOCK_WEIGHT).cast("long") + 1 for w in (F.col("w"), F.greatest(F.col("w") - F.col("top.w"), F.lit(0.0)))]
+    return of.filter(F.col("n") - F.col("top.n") > LISTED).select("bucket", F.col("top.class").alias("largest"), blocks[0].alias("blocks"), blocks[1].alias("outside_blocks"))
+
+
+def _crowded_links(buckets: DataFrame, classes: DataFrame, crowded: DataFrame, texts: DataFrame, idf: Broadcast, threshold: float) -> DataFrame:
+    """Links (a, b) that join the classes of each of the ``crowded`` buckets; every block of outside texts meets every block of all texts."""
+    rows = buckets.join(crowded, "bucket").join(classes, "tid", "left").withColumn("class", F.coalesce("class", "tid"))
+    row = ["bucket", "tid", "class"]
+
+    def spread(by: str, over: str) -> list:
+        return [F.pmod(F.xxhash64("tid"), F.col(by)).alias(by), F.explode(F.sequence(F.lit(0).cast("long"), F.col(over) - 1)).alias(over)]
+
+    every = rows.select(*row, F.lit(False).alias("outside"), *spread("blocks", "outside_blocks"))
+    outside = rows.filter("class <> largest").select(*row, F.lit(True).alias("outside"), *spread("outside_blocks", "blocks"))
+    met = every.unionByName(outside).join(texts.select(F.col("__tid").alias("tid"), F.col("__text").alias("text")), "tid")
+
+    def run(table: pa.Table) -> pa.Table:
+        pairs = _block_links(table, idf.value, threshold)
+        release()
+        a, b = zip(*pairs) if pairs else ((), ())
+        return pa.table({"a": pa.array(a, pa.string()), "b": pa.array(b, pa.string())})
+
+    return met.groupBy("bucket", "blocks", "outside_blocks").applyInArrow(run, "a string, b string").distinct()
+
+
+def _block_links(table: pa.Table, idf: Idf, threshold: float) -> list[tuple[str, str]]:
+    """Links between the outside texts and all texts of a block that join their classes; ``table`` has tid, class, outside and text of texts with features."""
+    tids, where, inverse = np.unique(np.array(table["tid"].to_pylist(), dtype=object), return_index=True, return_inverse=True)
+    outside = table["outside"].to_numpy(zero_copy_only=False)
+    xs, rows = np.unique(inverse[outside]), np.unique(inverse[~outside])
+    first = table.take(pa.array(where))
+    root = np.unique(np.array(first["class"].to_pylist(), dtype=object), return_inverse=True)[1]
+    member = np.zeros(len(tids), dtype=bool)
+    member[rows] = True
+    owners, values, weights, done = [], [], [], 0
+    for begin in range(0, len(tids), TEXTS_AT_ONCE):
+        for _, group in _groups(_lowered(first["text"].slice(begin, TEXTS_AT_ONCE).combine_chunks())):
+            owner, value, count = shingles(group)
+            owners.append(owner + done)
+            values.append(value)
+            weights.append(count * idf.of(value))
+            done += len(group)
+    owner, value, weight = np.concatenate(owners), np.concatenate(values), np.concatenate(weights)
+    total = np.bincount(owner, weight, len(tids))
+    start = np.searchsorted(owner, np.arange(len(tids) + 1))
+
+    def features(x: int) -> tuple[np.ndarray, np.ndarray]:
+        own = np.arange(start[x], start[x + 1])
+        own = own[np.argsort(value[own])]
+        return value[own], weight[own]
+
+    # a text's features from rare to common in the block, each with the weight of those before it
+    feature = np.unique(value, return_inverse=True)[1]
+    frequency = np.bincount(feature[member[owner]], minlength=feature.max(initial=-1) + 1)
+    order = np.lexsort((feature, frequency[feature], owner))
+    feature, value, weight = feature[order], value[order], weight[order]
+    before = np.cumsum(weight) - weight
+    before -= np.repeat(before[start[:-1]], np.diff(start))
+    # members by feature, if it is one that an alike text may share first
+    held = np.flatnonzero(member[owner] & (before <= (1 - threshold + _SLACK) * total[owner]))
+    held = held[np.argsort(feature[held], kind="stable")]
+    begins = np.searchsorted(feature[held], np.arange(len(frequency) + 1))
+    dense = np.zeros(len(frequency))
+    links: list[tuple[str, str]] = []
+    for x in xs:
+        own = slice(start[x], start[x + 1])
+        rare = np.arange(start[x], start[x] + np.searchsorted(before[own], (1 - threshold + _SLACK) * total[x], side="right"))
+        at, lengths = _ranges(begins[feature[rare]], begins[feature[rare] + 1])
+        at = held[at]
+        other = owner[at]
+        # texts alike enough share this weight, so what either has before the first feature they share is at most the rest
+        least = threshold / (1 + threshold) * (total[other] + total[x]) * (1 - _SLACK)
+        other = np.unique(other[(before[at] <= total[other] - least) & (np.repeat(before[rare], lengths) <= total[x] - least)])
+        dense[feature[own]] = weight[own]
+        size = COMPARED_AT_ONCE
+        while len(other := other[root[other] != root[x]]):
+            some, other = other[:size], other[size:]
+            size *= 2
+            at, lengths = _ranges(start[some], start[some + 1])
+            shared = np.add.reduceat(np.minimum(dense[feature[at]], weight[at]), np.cumsum(lengths) - lengths)
+            like = shared / (total[some] + total[x] - shared)
+            for k in np.flatnonzero(like >= threshold - _SLACK):
+                y = some[k]
+                # right at the threshold the order of the sums counts
+                if root[y] != root[x] and (like[k] >= threshold + _SLACK or weighted_jaccard(features(x), features(y)) >= threshold):
+                    links.append((min(tids[x], tids[y]), max(tids[x], tids[y])))
+                    root[root == root[y]] = root[x]
+        dense[feature[own]] = 0
+    return links
+
+
+#: Relative error that sums of weights stay under by far.
+_SLACK = 1e-6
+
+
+def _ranges(begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all ranges in a row, and the ranges' lengths."""
+    lengths = ends - begins
+    return np.arange(lengths.sum()) + np.repeat(begins - np.cumsum(lengths) + lengths, lengths), lengths
+
+
 def _salted_join(left: DataFrame, right: DataFrame, key: str, spread: str) -> DataFrame:
     """Left join on ``key`` whose hot keys are spread over SALTS parts by a hash of ``spread``."""
     left = left.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
@@ -471,7 +589,10 @@ def classify_texts(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     least = first_pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     links = cut(_linked(least, texts, idf, threshold))
     links = cut(links.union(_linked(_across(first_pairs, _classes(links)).join(least, ["a", "b"], "left_anti"), texts, idf, threshold)))
-    more = cut(_linked(_cross_pairs(buckets, _classes(links), threshold).join(first_pairs, ["a", "b"], "left_anti"), texts, idf, threshold))
+    classes = cut(_classes(links))
+    crowded = cut(_crowded(buckets, classes))
+    listed = _cross_pairs(buckets.join(crowded, "bucket", "left_anti"), classes, threshold).join(first_pairs, ["a", "b"], "left_anti")
+    more = cut(_linked(listed, texts, idf, threshold).union(_crowded_links(buckets, classes, crowded, texts, idf, threshold)))
     return _classes(links.union(more)).withColumnRenamed("tid", "__tid")
 
 

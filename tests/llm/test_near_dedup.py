@@ -3,6 +3,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from corpuskiln.llm import near_dedup as N
@@ -155,3 +156,67 @@ def test_a_text_of_many_pairs_is_spread(spark, docs, monkeypatch):
     pairs = spark.createDataFrame([("a", f"b{k}") for k in range(95)] + [("c", "d")], "a string, b string")
     texts = spark.createDataFrame([("a", "A"), ("c", "C")], "__tid string, __text string")
     assert sorted(tuple(r) for r in N._with_first_text(pairs, texts).select("a", "b", "__s").collect()) == sorted([("a", f"b{k}", "A") for k in range(95)] + [("c", "d", "C")])
+
+
+def test_texts_that_share_a_passage_are_not_listed_in_pairs(spark, docs, monkeypatch):
+    listed = []
+    verify = N.verify
+
+    def counted(pairs, texts, idf):
+        listed.append(pairs.count())
+        return verify(pairs, texts, idf)
+
+    monkeypatch.setattr(N, "verify", counted)
+    passage = " ".join(f"p{k}" for k in range(60))
+    rows = [(k, f"{passage} " + " ".join(f"u{k}x{j}" for j in range(30))) for k in range(200)]
+    rows += [(300 + k, f"{rows[k][1]} end") for k in range(5)]
+    got = {r["doc_id"]: r["class_id"] for r in N.near_duplicates(docs(rows)).collect()}
+    assert same_classes([got[i] for i, _ in rows], truth(rows))
+    # each text with the first text of each of its buckets, and in small buckets with few others
+    assert sum(listed) <= len(rows) * (N.BANDS + N.LISTED)
+
+
+def test_blocks_against_brute_force(spark, docs, monkeypatch):
+    monkeypatch.setattr(N, "LISTED", 0)
+    rng = random.Random(11)
+    rows = []
+    for g in range(3):
+        words = [f"g{g}w{k}" for k in range(150)]
+        rows += [(len(rows) + k, near(rng, words, rng.randrange(9))) for k in range(60)]
+    rows += [(500 + k, " ".join(f"g{k % 3}w{j}" for j in range(rng.randrange(60, 150)))) for k in range(30)]
+    want = truth(rows)
+    for weight in (10_000_000, 2_000):
+        monkeypatch.setattr(N, "BLOCK_WEIGHT", weight)
+        got = {r["doc_id"]: r["class_id"] for r in N.near_duplicates(docs(rows)).collect()}
+        assert same_classes([got[i] for i, _ in rows], want)
+
+
+def test_a_block_joins_all_classes_of_alike_texts():
+    rng = random.Random(12)
+    words = [f"w{k}" for k in range(120)]
+    texts = sorted({near(rng, words, rng.randrange(5)) for _ in range(80)}) + [" ".join(words[:k]) for k in (5, 60, 97, 98, 110)] + ["a b c", "a b c d e f"]
+    idf = N.Idf(1000, 1 / 128, np.array([], dtype=np.uint64), np.array([], dtype=np.int64))
+    tids, classes = [f"t{i:03d}" for i in range(len(texts))], [f"t{i // 2:03d}" for i in range(len(texts))]
+    weighted = [{g: 2.0 * n for g, n in plain_shingles(t).items()} for t in texts]
+    inside = set(range(0, 20))
+    block = [(i, False) for i in range(len(texts))] + [(i, True) for i in range(len(texts)) if i not in inside]
+    table = pa.table({"tid": [tids[i] for i, _ in block], "class": [classes[i] for i, _ in block], "outside": [o for _, o in block], "text": [texts[i] for i, _ in block]})
+    links = N._block_links(table, idf, 0.8)
+    number = {t: i for i, t in enumerate(tids)}
+    assert all(a < b and plain_jaccard(weighted[number[a]], weighted[number[b]]) >= 0.8 for a, b in links)
+
+    def closed(edges):
+        parent = list(range(len(texts)))
+
+        def find(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for i, j in edges:
+            parent[find(i)] = find(j)
+        return [find(i) for i in range(len(texts))]
+
+    given = [(i, int(c[1:])) for i, c in enumerate(classes)]
+    alike = [(i, j) for i in range(len(texts)) for j in range(i) if not (i in inside and j in inside) and plain_jaccard(weighted[i], weighted[j]) >= 0.8]
+    assert same_classes(closed(given + [(number[a], number[b]) for a, b in links]), closed(given + alike)) and len(links) < len(texts) < len(alike)
