@@ -635,9 +635,11 @@ def keep_one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     kept = rows.groupBy("__class").agg(F.min(rank).alias("__least"))
     kept = cut(kept.select(F.col("__least")["__id"].alias("__nd_id"), F.col("__least")["__tid"].alias("__nd_tid")))
     tid = F.when(F.col(text_col).isNull(), F.lit("null")).otherwise(F.md5(F.col(text_col).cast("string").cast("binary")))
-    out = df.join(kept.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("__nd_id")) & (tid == F.col("__nd_tid")), "left_semi")
+    # columns of kept go by its frame, as df may have any names
+    out = df.join(kept.hint("shuffle_hash"), F.col(id_col).eqNullSafe(kept["__nd_id"]) & (tid == kept["__nd_tid"]), "left_semi")
     # only where an id occurs more than once can a row be repeated
     if not df.groupBy(id_col).count().filter("count > 1").limit(1).count():
         return out
     order = Window.partitionBy(F.col(id_col), tid).orderBy(*[F.col(c).cast("string") for c in df.columns])
-    return out.withColumn("__nd_nth", F.row_number().over(order)).filter("__nd_nth = 1").select(*df.columns)
+    nth = "__nd_nth" + "_" * max(map(len, df.columns))
+    return out.withColumn(nth, F.row_number().over(order)).filter(F.col(nth) == 1).select(*df.columns)

@@ -56,3 +56,14 @@ def test_an_empty_table_and_unlabelled_rows(spark, docs, tmp_path):
 @pytest.mark.parametrize("module", [corpus_pipeline, language_id, line_dedup, near_dedup, packing])
 def test_modules_state_their_edge_cases(module):
     assert "Defined results" in module.__doc__
+
+
+def test_near_dedup_stage_keeps_columns_of_any_name(spark, docs, tmp_path, monkeypatch):
+    monkeypatch.setattr(near_dedup, "LISTED", 2)
+    passage = " ".join(f"p{k}" for k in range(60))
+    rows = [(k, f"{passage} " + " ".join(f"u{k}x{j}" for j in range(30))) for k in range(40)]
+    rows += [(50 + k, f"{rows[k][1]} end") for k in range(3)] + [rows[7]]
+    df = docs(rows).withColumns({c: F.lit(7) for c in ("__nd_id", "__nd_tid", "__nd_nth")})
+    out = corpus_pipeline.dedup_documents(spark, df, str(tmp_path))
+    assert out.columns == df.columns
+    assert sorted((r["doc_id"], r["__nd_id"], r["__nd_tid"], r["__nd_nth"]) for r in out.collect()) == [(k, 7, 7, 7) for k in range(40)]
