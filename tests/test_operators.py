@@ -315,3 +315,56 @@ def test_nearest_takes_queries_in_blocks(spark, monkeypatch):
     far = lambda a, b: sum((x - y) ** 2 for x, y in zip(vectors[a], vectors[b]))
     want = {(q, n + 1, v) for q in range(0, 60, 2) for n, v in enumerate(sorted((v for v in vectors if v != q), key=lambda v: (far(q, v), v))[:3])}
     assert len(got) == 90 and {(r["query_id"], r["rank"], r["vec_id"]) for r in got} == want
+
+
+def _near_copies(spark, groups=3, size=14):
+    """Groups of texts that differ from their neighbours in one word, as files."""
+    texts = [" ".join(f"g{g}w{i if i not in range(k * 5 + 5, k * 5 + 7) else f'{i}x{k}'}" for i in range(100)) for g in range(groups) for k in range(size)]
+    return spark.createDataFrame([(f"f{i:03d}", t, i) for i, t in enumerate(texts)], "filename string, content string, row_ord int")
+
+
+def _brute_pairs(sets, threshold=0.7):
+    known = {r["filename"]: set(r["shingles"]) for r in sets.collect()}
+    share = {(a, b): len(known[a] & known[b]) for a in known for b in known if a < b}
+    return {(a, b, n) for (a, b), n in share.items() if n and n / (len(known[a]) + len(known[b]) - n) >= threshold}
+
+
+@pytest.mark.parametrize("most", [1024, 4])
+def test_similar_sets_meet_in_blocks(spark, monkeypatch, most):
+    monkeypatch.setattr(near_duplicates, "BLOCK_FILES", most)
+    sets = near_duplicates.shingled(_near_copies(spark))
+    want = _brute_pairs(sets)
+    got = {(r["a"], r["b"], r["intersect_shingles"]) for r in near_duplicates.exact_pairs(sets).collect()}
+    assert got == want and len(want) > 100
+    clustered = near_duplicates.linked_files(sets.select("filename"), near_duplicates.exact_links(sets)).collect()
+    assert {r["filename"]: r["cluster"] for r in clustered} == {f"f{i:03d}": f"f{i // 14 * 14:03d}" for i in range(42)}
+    # a set is sent once for every block of its group, not once for every pair
+    blocks = -(-14 // most)
+    assert near_duplicates._blocks(sets, 0.7).count() <= 42 * (blocks + 1) and near_duplicates.exact_links(sets).count() <= 42 * blocks
+
+
+def test_shared_values_in_both_ways():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 40 if i % 2 else 4000, 60)) for i in range(30)]
+    values, owner = np.concatenate(sets), np.repeat(np.arange(30), [len(s) for s in sets])
+    left, right = np.arange(0, 12), np.arange(9, 30)
+    assert near_duplicates._shared(values, owner, left, right).tolist() == [[len(np.intersect1d(sets[i], sets[j])) for j in right] for i in left]
+
+
+def test_components_are_finished_in_one_task_or_in_rounds(spark, monkeypatch):
+    import random
+
+    rng = random.Random(5)
+    rows = [(f"n{rng.randint(1, 90)}", f"n{rng.randint(1, 90)}") for _ in range(60)]
+    df = spark.createDataFrame(rows, "a string, b string")
+    once = {tuple(r) for r in components.connected_components(df, "a", "b").collect()}
+    monkeypatch.setattr(components, "SMALL", -1)
+    assert once == {tuple(r) for r in components.connected_components(df, "a", "b").collect()} and len(once) > 50
+
+
+def test_last_row_of_a_repeated_name_counts(spark):
+    rows = [("a", "one two three four five six", 1), ("a", "x y z u v w", 2), ("b", "one two three four five six", 1)]
+    got = {r["filename"]: r["shingles"] for r in near_duplicates.shingled(spark.createDataFrame(rows, "filename string, content string, row_ord int")).collect()}
+    assert len(got) == 2 and set(got["a"]).isdisjoint(got["b"])
