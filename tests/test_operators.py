@@ -368,3 +368,31 @@ def test_last_row_of_a_repeated_name_counts(spark):
     rows = [("a", "one two three four five six", 1), ("a", "x y z u v w", 2), ("b", "one two three four five six", 1)]
     got = {r["filename"]: r["shingles"] for r in near_duplicates.shingled(spark.createDataFrame(rows, "filename string, content string, row_ord int")).collect()}
     assert len(got) == 2 and set(got["a"]).isdisjoint(got["b"])
+
+
+def _definition_files(spark):
+    one = {"imports": ["A"], "definitions": [{"name": "f", "kind": "declaration", "params": ["x"], "references": [{"def": "f::g"}, {"op": "+"}], "mcc": CFG}, {"name": "f::g", "kind": "declaration", "references": [{"def": "f"}]}, {"name": "T", "kind": "type"}]}
+    rows = [("p", json.dumps(one)), ("p", json.dumps({"imports": [], "definitions": [{"name": "h", "kind": "declaration", "mcc": CFG}]})), ("q", "not json"), ("r", None), ("s", "[1]"), ("t", json.dumps({"definitions": []}))]
+    return spark.createDataFrame(rows, "json_path string, json string")
+
+
+def test_trees_and_summaries_of_files(spark):
+    files_ = _definition_files(spark)
+    trees = sorted((r["json_path"], r["tree"] or "") for r in code_graph.dependency_trees(files_, "f").collect())
+    empty = json.dumps({"children": {}, "mcc": None}, sort_keys=True)
+    whole = json.dumps({"mcc": 2, "children": {"f::g": {"mcc": None, "children": {}}}}, sort_keys=True)
+    assert trees == [*sorted([("p", empty), ("p", whole)]), ("q", ""), ("r", ""), ("s", ""), ("t", empty)]
+    rows = [(r["json_path"], r["num_definitions"], r["imports_count"], r["num_declarations"], r["num_types"], r["num_declarations_with_mcc"], r["total_mcc"], r["max_mcc"], r["avg_mcc"]) for r in code_graph.file_summary(files_).collect()]
+    assert sorted(rows[:2]) == [("p", 1, 0, 3, 1, 2, 4, 2, 2.0), ("p", 3, 1, 3, 1, 2, 4, 2, 2.0)]
+    assert rows[2:] == [(k, 0, 0, 0, 0, 0, 0, None, None) for k in "qrst"]
+    defs = code_graph.definitions(files_).collect()
+    assert [(r["name"], [x["def"] for x in r["references"]], r["robust"]["mcc"], r["plain"]["mcc"]) for r in defs] == [("f", ["f::g", None], 2, 2), ("f::g", ["f"], None, None), ("T", [], None, None), ("h", [], 2, 2)]
+    best = code_graph.hardest_definitions(code_graph.definitions(files_)).collect()
+    assert [(r["json_path"], r["def_name"], r["total"], r["def_params"]) for r in best] == [("p", "f", 2, ["x"])]
+
+
+def test_equal_graphs_are_measured_once(monkeypatch):
+    asked = []
+    monkeypatch.setattr(code_graph, "complexity", lambda cfg, robust=True: asked.append(robust) or {"mcc": 1})
+    measured = code_graph.Measured()
+    assert {measured.place(json.loads(json.dumps(CFG))) for _ in range(50)} == {0} and len(asked) == 2
