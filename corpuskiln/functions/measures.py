@@ -9,7 +9,9 @@ from corpuskiln.functions.binding import let
 from corpuskiln.functions.text import lines
 
 BASE64_RUN = r"[A-Za-z0-9+/=\n]{64,}"
-HEX_RUN = r"(?U)(?:\b(?:0x|\\x)?[0-9A-Fa-f]{2}(?:,|\b\s*+)){8,}+"
+#: A word's edge where only ASCII letters, digits and underscores make words: Java's own counts letters of any script.
+_EDGE = r"(?:(?<![A-Za-z0-9_])(?=[A-Za-z0-9_])|(?<=[A-Za-z0-9_])(?![A-Za-z0-9_]))"
+HEX_RUN = rf"(?=[0-9A-Fa-f\\])(?:{_EDGE}(?:0x|\\x)?[0-9A-Fa-f]{{2}}(?:,|{_EDGE}[\t\n\f\r ]*+)){{8,}}+"
 UNICODE_RUN = r"(?:\\u[0-9A-Fa-f]{4}){8,}+"
 CODE_COMMENT = r"(?sd)--[^\n]*|//[^\n]*|/\*.*?\*/"
 CODE_TOKEN = (

@@ -141,3 +141,11 @@ def test_masking():
 
 def test_type_definitions():
     assert G.type_definitions("type A = { x : [8],\n y : B }\ntype N = 5\n") == {"A": "{ x : [8],\n y : B }", "N": "5"}
+
+
+def test_hex_runs_end_at_ascii_edges(spark):
+    run = "ab cd ef 01 23 45 67 89"
+    texts = [run, "é" + run, run + "é", run.replace(" 45", "\u00a045"), run.replace(" 45", "\x0b45"), "_" + run, "\\x" + run, run.replace(" ", ",")]
+    got = [value(spark, M.encoded_data(F.col("a"))["enc_hits_hexbytes"], a=t) for t in texts]
+    # SQL's words and white space are ASCII: a letter of another script is an edge, a no-break space isn't white space
+    assert got == [1, 1, 1, 0, 0, 0, 0, 1]
