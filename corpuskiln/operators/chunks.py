@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +17,8 @@ from corpuskiln.operators.splits import global_rank
 
 #: Queries that may be sent to every task.
 MAX_QUERIES = 10_000
+#: Rows that are compared with all queries at once.
+ROWS_AT_ONCE = 256
 
 
 def fixed_chunks(df: DataFrame, text: str, max_tokens: int, overlap_tokens: int = 64, chars_per_token: float = 4.0) -> DataFrame:
@@ -84,12 +89,76 @@ def nearest(df: DataFrame, query: Column, k: int, id_col: str = "vec_id", vector
     return scored.withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("distance", id_col)))
 
 
+class _Nearest:
+    """The k nearest rows to each of some vectors of one length, over batches of rows.
+
+    A product of matrices, whose error is bounded, tells which rows of a batch
+    could be among the k nearest so far; only those are measured exactly, summed
+    in double precision from the first component as ``squared_distance`` does.
+    """
+
+    def __init__(self, of: np.ndarray, queries: np.ndarray, k: int) -> None:
+        self.of, self.queries, self.k = of, queries, k
+        self.lengths = (queries * queries).sum(axis=1)
+        self.at, self.who, self.near = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0)
+        self.most = np.full(len(of), np.inf)
+
+    def take(self, rows: np.ndarray, names: np.ndarray) -> None:
+        with np.errstate(all="ignore"):
+            sums = self.lengths[:, None] + (rows * rows).sum(axis=1)[None]
+            rough = sums - 2 * (self.queries @ rows.T)
+            slack = 1e-9 * sums + 1e-300  # far above the product's rounding
+            most = self.most
+            if len(names) > self.k:  # one of them may be the query's own row
+                most = np.minimum(most, np.partition(rough + slack, self.k, axis=1)[:, self.k])
+            # what isn't a number is measured exactly too
+            q, r = np.nonzero(~(rough - slack > most[:, None]) & (names[None] != self.of[:, None]))
+            exact = np.zeros(len(q))
+            for c in range(rows.shape[1]):
+                difference = rows[r, c] - self.queries[q, c]
+                exact += difference * difference
+        at, who, near = np.concatenate([self.at, q]), np.concatenate([self.who, names[r]]), np.concatenate([self.near, exact])
+        order = np.lexsort((who, near, at))
+        at, who, near = at[order], who[order], near[order]
+        rank = np.arange(len(at)) - np.searchsorted(at, at)
+        kept = rank < self.k
+        self.at, self.who, self.near = at[kept], who[kept], near[kept]
+        last = np.flatnonzero(rank == self.k - 1)
+        self.most[at[last]] = near[last]
+
+
 def _nearest_of_block(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
-    """(query_id, rank, vec_id, distance) for a set of queries that is sent to every task."""
-    listed = F.broadcast(queries.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("__q")))
-    scored = rows.join(listed, F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", squared_distance(F.col("embedding"), F.col("__q")).alias("distance"))
+    """(query_id, rank, vec_id, distance) for a set of queries that is sent to every task, which keeps k rows a query.
+
+    Vectors that are null or hold a null take no part, nor do those of another length than the query's.
+    """
+    sent = queries.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).filter("vec_id IS NOT NULL AND embedding IS NOT NULL").toArrow()
+    known = queries.sparkSession.sparkContext.broadcast((sent["vec_id"].to_pylist(), sent["embedding"].to_pylist()))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, vectors = known.value
+        places: dict[int, list[int]] = {}
+        for i, v in enumerate(vectors):
+            if None not in v:
+                places.setdefault(len(v), []).append(i)
+        found = {n: _Nearest(np.array([ids[i] for i in of], dtype=np.int64), np.array([vectors[i] for i in of]).reshape(len(of), n), k) for n, of in places.items()}
+        for batch in batches:
+            lengths = pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False)
+            for n in set(lengths.tolist()) & set(found):
+                part = batch.filter(pa.array(lengths == n))
+                values = part.column(1).flatten()
+                whole = np.flatnonzero(~values.is_null().to_numpy(zero_copy_only=False).reshape(len(part), n).any(axis=1))
+                numbers, names = values.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(part), n)[whole], part.column(0).to_numpy()[whole]
+                for low in range(0, len(names), ROWS_AT_ONCE):
+                    found[n].take(numbers[low : low + ROWS_AT_ONCE], names[low : low + ROWS_AT_ONCE])
+        for one in found.values():
+            for low in range(0, len(one.at), 1 << 16):
+                piece = slice(low, low + (1 << 16))
+                yield pa.RecordBatch.from_arrays([pa.array(one.of[one.at[piece]]), pa.array(one.who[piece]), pa.array(one.near[piece])], ["query_id", "vec_id", "distance"])
+
+    near = rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).filter("vec_id IS NOT NULL AND embedding IS NOT NULL").mapInArrow(run, "query_id bigint, vec_id bigint, distance double")
     order = Window.partitionBy("query_id").orderBy("distance", "vec_id")
-    return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
 def nearest_of_each(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:

@@ -396,3 +396,20 @@ def test_equal_graphs_are_measured_once(monkeypatch):
     monkeypatch.setattr(code_graph, "complexity", lambda cfg, robust=True: asked.append(robust) or {"mcc": 1})
     measured = code_graph.Measured()
     assert {measured.place(json.loads(json.dumps(CFG))) for _ in range(50)} == {0} and len(asked) == 2
+
+
+def test_nearest_is_exact_over_batches(spark, monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(chunks, "ROWS_AT_ONCE", 8)
+    rng = np.random.default_rng(4)
+    rows = np.round(rng.normal(size=(70, 5)), 1)
+    rows[40:50] = rows[:10]  # equal distances: the smaller id is nearer
+    known = chunks._Nearest(np.arange(0, 70, 7), rows[::7], 6)
+    for low in range(0, 70, 8):
+        known.take(rows[low : low + 8], np.arange(low, min(low + 8, 70)))
+    got = [[] for _ in range(10)]
+    for q, v, d in zip(known.at, known.who, known.near):
+        got[q].append((d, v))
+    exact = lambda a, b: sum((x - y) * (x - y) for x, y in zip(rows[a], rows[b]))
+    assert got == [sorted((exact(v, q), v) for v in range(70) if v != q)[:6] for q in range(0, 70, 7)]
