@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,6 +15,8 @@ BASE64_RUN = r"[A-Za-z0-9+/=\n]{64,}"
 _EDGE = r"(?:(?<![A-Za-z0-9_])(?=[A-Za-z0-9_])|(?<=[A-Za-z0-9_])(?![A-Za-z0-9_]))"
 HEX_RUN = rf"(?=[0-9A-Fa-f\\])(?:{_EDGE}(?:0x|\\x)?[0-9A-Fa-f]{{2}}(?:,|{_EDGE}[\t\n\f\r ]*+)){{8,}}+"
 UNICODE_RUN = r"(?:\\u[0-9A-Fa-f]{4}){8,}+"
+#: White space at both ends of lines.
+_LINE_ENDS = r"(?Umd)^[\s&&[^\n]]+|[\s&&[^\n]]+$"
 CODE_COMMENT = r"(?sd)--[^\n]*|//[^\n]*|/\*.*?\*/"
 CODE_TOKEN = (
     r"0x[0-9A-Fa-f]+|0b[01]+|0o[0-7]+|\p{Nd}+"
@@ -131,10 +135,35 @@ def jaccard(a: Column, b: Column) -> Column:
 
 def char_grams(c: Column, k: int = 5) -> Column:
     """Distinct ``k``-grams of code points within trimmed lines, in time linear in the text."""
-    trimmed = F.regexp_replace(c, r"(?Umd)^[\s&&[^\n]]+|[\s&&[^\n]]+$", "")
+    trimmed = F.regexp_replace(c, _LINE_ENDS, "")
     return F.array_distinct(F.regexp_extract_all(trimmed, F.lit(rf"(?sd)(?=([^\n]{{{k}}}))."), F.lit(1)))
 
 
+def count_grams(text: str, k: int) -> int:
+    """Distinct ``k``-grams of code points of a text that hold no line feed."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
+    if len(points) < k:
+        return 0
+    key, most, base = points, int(points.max()) + 1, int(points.max()) + 1
+    for j in range(1, k):
+        if most * base >= 1 << 62:  # numbered anew, so keys stay exact
+            known, key = np.unique(key, return_inverse=True)
+            most = len(known)
+        key, most = key[:-1] * base + points[j:], most * base
+    breaks = np.concatenate([[0], np.cumsum(points == 10)])
+    return len(np.unique(key[breaks[k:] == breaks[:-k]]))
+
+
+def gram_count(c: Column, k: int = 5) -> Column:
+    """The size of ``char_grams``, without making the grams."""
+
+    @F.pandas_udf("int")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else count_grams(t, k) for t in texts], dtype="Int32")
+
+    return run(F.regexp_replace(c, _LINE_ENDS, ""))
+
+
 def is_junk_path(path: Column) -> Column:
     clean = F.replace(path, F.lit("\\"), F.lit("/"))
     out = F.lit(False)

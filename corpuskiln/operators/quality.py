@@ -80,7 +80,7 @@ def basic_metrics(df: DataFrame) -> DataFrame:
         (M.non_ascii_count(c) / F.greatest(F.length(c), F.lit(1))).alias("non_ascii_ratio"), F.contains(c, F.lit("\x00")).cast("int").alias("binary_like"),
         matched.alias("enc_total_matched"), F.coalesce(F.array_max(M.run_lengths(c, "[A-Za-z0-9+/=]+")), F.lit(0)).alias("enc_max_run"),
         (matched / F.greatest(F.length(c), F.lit(1))).alias("enc_fraction"), *[v.alias(k) for k, v in hits.items()], names.alias("num_tokens_lang"),
-        F.size(M.char_grams(c)).alias("num_shingles"), (F.regexp_count(c, F.lit(r"(?U)\b[0-9a-fA-F]{8,}\b")) / F.greatest(names, F.lit(1))).alias("hexnum_ratio"),
+        M.gram_count(c).alias("num_shingles"), (F.regexp_count(c, F.lit(r"(?U)\b[0-9a-fA-F]{8,}\b")) / F.greatest(names, F.lit(1))).alias("hexnum_ratio"),
         M.word_count(c).alias("num_tokens_model"), estimated_tokens(c).alias("tokens_estimate"),
     )
 

@@ -149,3 +149,10 @@ def test_hex_runs_end_at_ascii_edges(spark):
     got = [value(spark, M.encoded_data(F.col("a"))["enc_hits_hexbytes"], a=t) for t in texts]
     # SQL's words and white space are ASCII: a letter of another script is an edge, a no-break space isn't white space
     assert got == [1, 1, 1, 0, 0, 0, 0, 1]
+
+
+def test_grams_are_counted_without_making_them(spark):
+    texts = ["", "abcd", "abcde", " abcdeabcde \n  abcdef\t\nxy", "éß漢字😀éß漢字😀\n\n\U0010ffffé퟿漢字😀ß", "aaaaaaaa\r\naaaaaa", "\x1cabcd\x85 \n vwxyz ", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "a string").select(M.gram_count(F.col("a")).alias("n"), F.size(M.char_grams(F.col("a"))).alias("m")).collect()
+    assert [r["n"] for r in rows[:-1]] == [r["m"] for r in rows[:-1]] and rows[-1]["n"] is None
+    assert M.count_grams("".join(map(chr, range(0x10000, 0x10400))), 5) == 1020
